@@ -8,6 +8,8 @@ from registry.core import ORACLE, QUERIES
 
 MODULES = (
     "calendar_queries",
+    "reference_queries",
+    "index_queries",
 )
 
 
