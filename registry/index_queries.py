@@ -377,7 +377,7 @@ def chain(t: Tables) -> dict[str, DataFrame]:
 STATION_INDEX = """station_index AS (
   SELECT * FROM gw_index UNION ALL SELECT * FROM flow_index),
 zone_mean AS (
-  SELECT zone_id, semaine, indice, sum(valeur::DECIMAL(38, 18))::DOUBLE / count(*) AS valeur,
+  SELECT zone_id, semaine, indice, sum(valeur::DECIMAL(28, 12))::DOUBLE / count(*) AS valeur,
          count(*) AS n_stations, string_agg(station_id, ',' ORDER BY station_id) AS stations
   FROM station_index JOIN stations USING (station_id) WHERE dans_composite GROUP BY 1, 2, 3)"""
 STATION_CTES = (
@@ -516,28 +516,31 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return _station_columns(chain(t)["indice_station"])
+    inputs = chain_inputs(t)
+    normals = weekly.station_normals(inputs, CHAIN)
+    return _station_columns(weekly.station_indices(inputs, normals, CHAIN, START, END))
 
 
 @query(
     "weekly_indices_zone",
     with_sql(
         f"""SELECT zone_id, semaine, indice, {s6('valeur', 4)} AS valeur,
-                   {class_sql('valeur')} AS classe, n_stations, hors_reference, 'D14' AS version_methodo
-            FROM (SELECT zone_id, semaine, indice, valeur, n_stations, hors_reference FROM ranked
+                   {class_sql('valeur')} AS classe, n_stations, hors_reference::VARCHAR AS hors_reference,
+                   'D14' AS version_methodo FROM (SELECT zone_id, semaine, indice, valeur, n_stations, hors_reference FROM ranked
                   UNION ALL SELECT zone_id, semaine, indice, valeur, -1, hors_reference FROM spi_index)
             UNION ALL
-            SELECT zone_id, semaine, 'onde', {s6('(n_rupture + n_assec) / n_stations', 4)}, NULL,
-                   n_stations, NULL, 'D14' FROM campaign_share
+            SELECT zone_id, semaine, 'onde', {s6('(n_rupture + n_assec) / n_stations', 4)}, 0,
+                   n_stations, '', 'D14' FROM campaign_share
             WHERE semaine BETWEEN '1995-W10' AND '2001-W50'""",
         *CHAIN_CTES, CAMPAIGNS,
     ),
 )
 def _(t: Tables):
     zones = chain(t)["indice_zone"]
-    flag = F.get_json_object("detail", "$.hors_reference").cast("boolean")
+    flag = F.coalesce(F.get_json_object("detail", "$.hors_reference"), F.lit(""))
     return zones.select(
-        "zone_id", "semaine", "indice", r6("valeur", 4).alias("valeur"), "classe",
+        "zone_id", "semaine", "indice", r6("valeur", 4).alias("valeur"),
+        F.coalesce("classe", F.lit(0)).alias("classe"),
         F.coalesce("n_stations", F.lit(-1)).alias("n_stations"), flag.alias("hors_reference"),
         "version_methodo",
     )

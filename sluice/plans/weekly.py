@@ -1,12 +1,13 @@
 """The weekly chain: stations, zones, composite, with their frozen references.
 
 Order: station normals, raw zone means, zone references, restandardised zones, raw composite,
-composite reference, restandardised composite. Everything is lazy; `weekly_tables` gives the plan,
-and a job writes each table once (see `sluice.sources.sinks`) and reads it back for the next step.
+composite reference, restandardised composite. Each table that several steps read is written once
+and read back, so the plans stay short and a lost executor replays one step only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from sluice.functions import calendar as cal
 from sluice.operators import indices as ix
 from sluice.operators import reference as ref
+from sluice.session import cut_lineage
 
 STATION_INDICES = ("ips", "debit")
 
@@ -129,32 +131,36 @@ def weekly_tables(
     normals: dict[str, DataFrame] | None = None,
     references: tuple[DataFrame, DataFrame] | None = None,
     history: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> dict[str, DataFrame]:
     """indice_station, indice_zone and composite_zone of the weeks `start` to `end`.
 
-    `normals` and `references` are the stored tables of earlier runs; without them they are built
-    in the same plan, the zone references from the weeks since `history` (by default `start`)."""
+    `normals` and `references` are the stored tables of earlier runs. Without them they are built
+    here, the zone references from the weeks since `history` (by default `start`). Tables that
+    several later steps read go through `keep`, which writes them once: by default a checkpoint."""
     normals = normals or station_normals(inputs, s)
-    first, last = cal.week_sunday(F.lit(start)), cal.week_sunday(F.lit(end))
-    by_station = station_indices(inputs, normals, s, first, last)
-    spi, means = raw_zones(inputs, normals, by_station, first, last)
+    since = start if references is not None else min(history or start, start)
+    first, last = cal.week_sunday(F.lit(since)), cal.week_sunday(F.lit(end))
+    by_station = keep(station_indices(inputs, normals, s, first, last))
+    spi, means = (keep(x) for x in raw_zones(inputs, normals, by_station, first, last))
     if references is None:
-        since = cal.week_sunday(F.lit(history or start))
-        past = station_indices(inputs, normals, s, since, last)
-        references = zone_references(inputs, *raw_zones(inputs, normals, past, since, last), s)
+        references = tuple(keep(x) for x in zone_references(inputs, spi, means, s))
     zone_refs, composite_refs = references
-    ranked = ix.restandardise(means, zone_refs, ["zone_id", "indice"])
-    raw = ix.composite(_values(spi).unionByName(_values(ranked)), inputs.weights)
+
+    def asked(table: DataFrame) -> DataFrame:
+        return table.where((F.col("semaine") >= start) & (F.col("semaine") <= end))
+
+    ranked = ix.restandardise(asked(means), zone_refs, ["zone_id", "indice"])
+    raw = ix.composite(_values(asked(spi)).unionByName(_values(ranked)), inputs.weights)
     composites = ix.restandardise(raw, composite_refs, ["zone_id"])
-    zones = ix.finalise(ix.with_detail_text(spi), s.version).unionByName(
+    zones = ix.finalise(ix.with_detail_text(asked(spi)), s.version).unionByName(
         ix.finalise(ix.with_detail_text(ranked), s.version)
     )
     if inputs.campaigns is not None:
-        share = ix.campaign_share(inputs.campaigns, inputs.stations)
-        share = share.where((F.col("semaine") >= start) & (F.col("semaine") <= end))
+        share = asked(ix.campaign_share(inputs.campaigns, inputs.stations))
         zones = zones.unionByName(ix.finalise(ix.with_detail_text(share), s.version, False))
     return {
-        "indice_station": by_station,
+        "indice_station": asked(by_station),
         "indice_zone": zones,
         "composite_zone": ix.finalise(composites, s.version),
     }
