@@ -10,6 +10,8 @@ MODULES = (
     "calendar_queries",
     "reference_queries",
     "index_queries",
+    "source_queries",
+    "quality_queries",
 )
 
 

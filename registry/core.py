@@ -250,3 +250,12 @@ readings AS (
          greatest(1, floor(max(volume_m3) OVER (PARTITION BY station_id) * 9 / 10))::BIGINT
            AS capacite_m3
   FROM weekly_orders)"""
+
+
+def scratch(t: Tables, name: str) -> str:
+    """A new folder all executors share, inside the checkpoint folder of the session."""
+    import uuid
+
+    from sluice.session import shared_folder
+
+    return f"{shared_folder(t.spark)}/landed-{name}-{uuid.uuid4().hex}"

@@ -27,16 +27,22 @@ def build_session(app: str = "sluice", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and read it back, so that a lost executor never forces
-    a replay of a long loop. The folder is the one of the cluster (`spark.checkpoint.dir`); a
-    temporary one is made in local mode only."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session: that of the cluster (`spark.checkpoint.dir`), or a
+    temporary one in local mode only."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="sluice-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the checkpoint folder and read it back, so that a lost executor never forces
+    a replay of a long loop."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
