@@ -12,6 +12,8 @@ MODULES = (
     "index_queries",
     "source_queries",
     "quality_queries",
+    "api_queries",
+    "validation_queries",
 )
 
 

@@ -93,9 +93,10 @@ def asof_forward(
     right_time: str,
     payload: Sequence[str],
     period: str = "month",
+    strict: bool = True,
 ) -> DataFrame:
-    """The mirror of `asof_join`: the earliest right row strictly after each left row. Time is
-    reflected so that one operator serves both directions."""
+    """The mirror of `asof_join`: the earliest right row after each left row (`strict=False`: at or
+    after it). Time is reflected so that one operator serves both directions."""
     def reflect(c: str) -> Column:
         return F.timestamp_micros(-F.unix_micros(F.col(c).cast("timestamp")))
 
@@ -107,6 +108,6 @@ def asof_forward(
         "_rt",
         payload,
         period=period,
-        strict=True,
+        strict=strict,
     )
     return result.drop("_lt")
