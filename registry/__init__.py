@@ -14,6 +14,8 @@ MODULES = (
     "quality_queries",
     "api_queries",
     "validation_queries",
+    "optical_queries",
+    "landcover_queries",
 )
 
 

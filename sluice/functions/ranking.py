@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 128
+RANGES = 64
 
 
 def cumulative_counts(
@@ -23,7 +23,8 @@ def cumulative_counts(
     ranges: int = RANGES,
 ) -> DataFrame:
     """One row per key and distinct value with, for each entry of `counts`, its sum at the value
-    (same name) and over all lower values of the key (`<name>_below`). Null values are left out."""
+    (same name), over all lower values of the key (`<name>_below`) and over the key
+    (`<name>_total`). Null values are left out."""
     keys = list(keys)
     per_value = (
         df.where(F.col(value).isNotNull())
@@ -39,12 +40,15 @@ def cumulative_counts(
     if not keys:
         per_value = per_value.withColumn("_all", F.lit(0))
         cuts = cuts.withColumn("_all", F.lit(0))
-    placed = per_value.join(cuts, join_keys).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
-    earlier = Window.partitionBy(*join_keys).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
+    # one shuffle by key and range serves both the totals of the ranges and the counts inside them
+    placed = (
+        per_value.join(cuts, join_keys)
+        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
+        .drop("_cuts")
+        .repartition(*join_keys, "_range")
     )
+    by_key = Window.partitionBy(*join_keys)
+    earlier = by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(*join_keys, "_range")
         .agg(*[F.sum(n).alias(n) for n in counts])
@@ -52,6 +56,7 @@ def cumulative_counts(
             *join_keys,
             "_range",
             *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start_{n}") for n in counts],
+            *[F.sum(n).over(by_key).alias(f"{n}_total") for n in counts],
         )
     )
     inside = Window.partitionBy(*join_keys, "_range").orderBy(value).rowsBetween(
@@ -65,6 +70,7 @@ def cumulative_counts(
         value,
         *counts,
         *[(F.col(f"_start_{n}") + F.col(f"_in_{n}")).alias(f"{n}_below") for n in counts],
+        *[f"{n}_total" for n in counts],
     )
 
 
@@ -83,11 +89,6 @@ def exact_quantiles(
     `probabilities`."""
     keys = list(keys)
     ranked = cumulative_counts(df, keys, value, {"n": 1})
-    if not keys:
-        ranked = ranked.withColumn("_all", F.lit(0))
-    by = keys or ["_all"]
-    totals = ranked.groupBy(*by).agg(F.sum("n").alias("_total"))
-    placed = ranked.join(totals, by)
 
     def at(index: Column) -> Column:
         hit = (F.col("n_below") <= index) & (index < F.col("n_below") + F.col("n"))
@@ -95,18 +96,18 @@ def exact_quantiles(
 
     columns = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("_total") - 1)
+        position = F.lit(float(p)) * (F.col("n_total") - 1)
         columns.append(at(F.floor(position)).alias(f"_lo_{name}"))
         columns.append(at(F.ceil(position)).alias(f"_hi_{name}"))
-    grouped = placed.groupBy(*by, "_total").agg(*columns)
+    grouped = ranked.groupBy(*keys, "n_total").agg(*columns)
     result = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("_total") - 1)
+        position = F.lit(float(p)) * (F.col("n_total") - 1)
         weight = position - F.floor(position)
         result.append(
             (F.col(f"_lo_{name}") * (1 - weight) + F.col(f"_hi_{name}") * weight).alias(name)
         )
-    return grouped.select(*keys, F.col("_total").alias("n"), *result)
+    return grouped.select(*keys, F.col("n_total").alias("n"), *result)
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
