@@ -7,6 +7,7 @@ from registry.api_queries import BASE, composite_table, idx, zones
 from registry.core import Tables, query, r6, s6, ssunday, sday, sweek, with_sql
 from sluice.functions.ranking import spearman
 from sluice.operators import validation as va
+from sluice.session import cut_lineage
 
 DECREES = """decrees AS (
   SELECT o_orderkey AS arrete_id, o_orderdate::DATE AS date_debut,
@@ -74,6 +75,11 @@ def table(t: Tables) -> DataFrame:
     return va.assemble_validation(levels(t), composite_table(t), idx(t), ["ips", "debit"])
 
 
+def stored_table(t: Tables) -> DataFrame:
+    """The same table written once, for the measures that read it several times."""
+    return cut_lineage(table(t))
+
+
 @query(
     "match_by_name",
     with_sql(
@@ -136,7 +142,7 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    rows = va.auc_table(table(t), {"composite": "valeur", "ips": "ips", "debit": "debit"})
+    rows = va.auc_table(stored_table(t), {"composite": "valeur", "ips": "ips", "debit": "debit"})
     return rows.withColumn("auc", F.coalesce(r6("auc"), F.lit(-1.0)))
 
 
@@ -168,7 +174,7 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return spearman(table(t), ["zone_id"], "niveau", "valeur").withColumn("rho", r6("rho"))
+    return spearman(stored_table(t), ["zone_id"], "niveau", "valeur").withColumn("rho", r6("rho"))
 
 
 @query(

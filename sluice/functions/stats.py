@@ -49,9 +49,14 @@ def _horner(x: Column, coefficients: Sequence[float]) -> Column:
 
 
 def probit(p: Column) -> Column:
-    """Normal quantile of a probability strictly between 0 and 1; -inf and +inf at the ends.
+    """Normal quantile of a probability; -inf and +inf at 0 and 1, null outside [0, 1].
 
-    `p` should be a plain column: it is used many times in the expression."""
+    The formula names its argument some fifty times. It is bound once, as the only element of an
+    array, so that the optimiser can move the expression without copying what `p` stands for."""
+    return F.get(F.transform(F.array(p), _probit_of), F.lit(0))
+
+
+def _probit_of(p: Column) -> Column:
     q = p - 0.5
     centre = F.lit(0.180625) - q * q
     near = q * _horner(centre, AS241_CENTRE[0]) / _horner(centre, AS241_CENTRE[1])
