@@ -16,6 +16,7 @@ MODULES = (
     "validation_queries",
     "optical_queries",
     "landcover_queries",
+    "radar_queries",
 )
 
 
