@@ -17,6 +17,7 @@ MODULES = (
     "optical_queries",
     "landcover_queries",
     "radar_queries",
+    "spatial_queries",
 )
 
 
