@@ -18,6 +18,7 @@ MODULES = (
     "landcover_queries",
     "radar_queries",
     "spatial_queries",
+    "study_queries",
 )
 
 

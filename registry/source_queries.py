@@ -147,7 +147,7 @@ _CAMP = """obs AS (SELECT 'onde:' || user_id::VARCHAR AS station_id, ts::DATE AS
   types AS (SELECT DISTINCT json_extract(props, '$.k')::INT AS k,
       CASE WHEN json_extract(props, '$.k')::INT % 4 = 0 THEN 'complementaire' ELSE 'usuelle' END AS type_campagne
     FROM events WHERE json_extract(props, '$.k')::INT % 9 <> 0),
-  known AS (SELECT DISTINCT 'onde:' || user_id::VARCHAR AS station_id FROM events WHERE value > 50)"""
+  known AS (SELECT DISTINCT 'onde:' || user_id::VARCHAR AS station_id FROM events WHERE value > 45 AND user_id % 2 = 0)"""
 
 
 def _campaign(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -163,7 +163,7 @@ def _campaign(t: Tables) -> tuple[DataFrame, DataFrame]:
         "type_campagne",
         F.when(F.col("code_campagne") % 4 == 0, "complementaire").otherwise("usuelle"),
     )
-    known = t.events.where("value > 50").select(
+    known = t.events.where("value > 45 AND user_id % 2 = 0").select(
         F.concat(F.lit("onde:"), "user_id").alias("station_id")
     ).distinct()
     return scans.shape_campaign(obs, kinds, known)
