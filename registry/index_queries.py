@@ -17,6 +17,7 @@ from sluice.functions import stats
 from sluice.operators import indices as ix
 from sluice.operators import reference as ref
 from sluice.plans import weekly
+from sluice.session import cut_lineage
 
 _Y, _P, _O = select_years_sql("valid")
 LESS = "len(list_filter(valeurs_ref, lambda x: x < {v}))"
@@ -359,8 +360,9 @@ def weights_table(t: Tables) -> DataFrame:
 
 
 def chain_inputs(t: Tables) -> weekly.Inputs:
+    daily = cut_lineage(nation_day(t))  # the stored observations of the chain
     return weekly.Inputs(
-        groundwater=nation_day(t), flow=nation_day(t), rain=region_rain(t), stations=stations(t),
+        groundwater=daily, flow=daily, rain=region_rain(t), stations=stations(t),
         weights=weights_table(t), campaigns=campaigns(t),
         regime_zones=stations(t).where("zone_id = 'Z1'"),
     )

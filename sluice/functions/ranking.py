@@ -2,7 +2,8 @@
 
 `median` and rank windows hold one group in one task, which fails when a group is a third of the
 table. Here the distinct values of a group are cut into ranges at approximate quantiles. The cut
-points only decide which task counts which values, so the results stay exact.
+points only decide which task counts which values, so the results stay exact. A value finds its
+range in two steps, among the coarse cut points and then among those of its step.
 """
 
 from __future__ import annotations
@@ -12,15 +13,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-
-
 def cumulative_counts(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     counts: Mapping[str, Column | int],
-    ranges: int = RANGES,
+    root: int = 8,
 ) -> DataFrame:
     """One row per key and distinct value with, for each entry of `counts`, its sum at the value
     (same name), over all lower values of the key (`<name>_below`) and over the key
@@ -31,11 +29,20 @@ def cumulative_counts(
         .groupBy(*keys, value)
         .agg(*[F.sum(c if isinstance(c, Column) else F.lit(c)).alias(n) for n, c in counts.items()])
     )
-    cuts = per_value.groupBy(*keys).agg(
-        F.percentile_approx(
-            value, [i / ranges for i in range(1, ranges)], F.lit(20 * ranges)
-        ).alias("_cuts")
+    ranges = root * root
+    cuts = (
+        per_value.groupBy(*keys)
+        .agg(
+            F.percentile_approx(
+                value, [i / ranges for i in range(1, ranges)], F.lit(20 * ranges)
+            ).alias("_cuts")
+        )
+        .withColumn("_coarse", F.array(*[F.get("_cuts", F.lit(root * i - 1)) for i in range(1, root)]))
     )
+
+    def below(points: str | Column) -> Column:
+        return F.size(F.filter(points, lambda c: c < F.col(value)))
+
     join_keys = keys or ["_all"]
     if not keys:
         per_value = per_value.withColumn("_all", F.lit(0))
@@ -43,8 +50,11 @@ def cumulative_counts(
     # one shuffle by key and range serves both the totals of the ranges and the counts inside them
     placed = (
         per_value.join(cuts, join_keys)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
-        .drop("_cuts")
+        .withColumn("_step", below("_coarse") * root)
+        .withColumn(
+            "_range", F.col("_step") + below(F.slice("_cuts", F.col("_step") + 1, F.lit(root - 1)))
+        )
+        .drop("_cuts", "_coarse", "_step")
         .repartition(*join_keys, "_range")
     )
     by_key = Window.partitionBy(*join_keys)

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import factorial
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import calendar as cal
 from sluice.functions.ranking import exact_medians, exact_quantiles
 from sluice.functions.stats import gamma_cdf
 from sluice.operators.components import connected_components
-from sluice.operators.grid import TILE, cell_keys, spread
+from sluice.operators.grid import TILE, with_halo
+from sluice.session import cut_lineage
 
 # Detection and reference parameters of the published series.
 DROP_DB, LIMIT_DB, PATCH_PX = 3.0, -16.0, 10
@@ -59,35 +62,47 @@ def median_filter_3x3(
     """3 x 3 median of each image: missing pixels first take the median of the image, and pixels
     beyond an edge repeat the edge. Rows without a pixel are outside the image.
 
-    The image median is distributed; the neighbourhoods need one shuffle by image and tile."""
+    The image median is distributed. Each (image, tile) with its halo is then one small group,
+    filtered as an array: a shuffle of about the size of the table, where sending every pixel to
+    its nine neighbours would move nine times as much."""
     image = list(image)
+    df = cut_lineage(df)  # read by the median, the box, the tiles and the result
     middle = exact_quantiles(df, image, value, {"_mid": 0.5}).drop("n")
     box = df.groupBy(*image).agg(
         F.min("ix").alias("_x0"), F.max("ix").alias("_x1"),
         F.min("iy").alias("_y0"), F.max("iy").alias("_y1"),
     )
-    filled = df.join(box, image).join(middle, image, "left").withColumn(
-        "_v", F.coalesce(value, "_mid")
-    )
-
-    def reached(axis: str, low: str, high: str) -> Column:
-        c = F.col(axis)
-        return F.array(F.greatest(c - 1, F.col(low)), c, F.least(c + 1, F.col(high)))
-
-    sent = spread(
-        filled.select(*image, "ix", "iy", "_v", "_x0", "_x1", "_y0", "_y1"),
-        image,
-        reached("ix", "_x0", "_x1"),
-        reached("iy", "_y0", "_y1"),
-        1,
-        tile,
-    )
-    smooth = (
-        sent.groupBy(*cell_keys(image))
-        .agg(F.median("_v").alias(name))
-        .select(*image, F.col("qx").alias("ix"), F.col("qy").alias("iy"), name)
-    )
-    return df.join(smooth, [*image, "ix", "iy"])
+    filled = df.join(box, image).join(middle, image, "left").select(
+        *image, "ix", "iy", F.coalesce(value, "_mid").cast("double").alias("_v"),
+        "_x0", "_x1", "_y0", "_y1",
+    )
+    halo = with_halo(filled, image, 1, tile)
+    types = dict(df.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in image) + f", ix int, iy int, `{name}` double"
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf["ix"].to_numpy(), pdf["iy"].to_numpy()
+        first = pdf.iloc[0]
+        left, low = x.min() - 1, y.min() - 1
+        plane = np.full((x.max() - left + 2, y.max() - low + 2), np.nan)
+        plane[x - left, y - low] = pdf["_v"].to_numpy()
+        shifted = []
+        for dx in (-1, 0, 1):
+            for dy in (-1, 0, 1):
+                qx = np.clip(x + dx, first["_x0"], first["_x1"]) - left
+                qy = np.clip(y + dy, first["_y0"], first["_y1"]) - low
+                shifted.append(plane[qx, qy])
+        ordered = np.sort(np.stack(shifted), axis=0)  # missing values last
+        n = np.isfinite(ordered).sum(axis=0)
+        rows = np.arange(len(x))
+        median = (ordered[np.maximum(n - 1, 0) // 2, rows] + ordered[np.minimum(n // 2, 8), rows]) / 2
+        mine = (x // tile == first["_tx"]) & (y // tile == first["_ty"])
+        out = pdf.loc[mine, [*image, "ix", "iy"]].copy()
+        out[name] = np.where(n > 0, median, np.nan)[mine]
+        return out
+
+    result = halo.groupBy(*image, "_tx", "_ty").applyInPandas(smooth, schema)
+    return df.join(result, [*image, "ix", "iy"])
 
 
 def detect_change(
@@ -169,8 +184,7 @@ def passages(
 
     `pixels` has marais, ix, iy, date, db on the full grid of each pass; `domain` marais, ix, iy,
     domaine, regime. Passes and references are smoothed once and written aside for the joins."""
-    from sluice.session import cut_lineage
-
+    pixels = cut_lineage(pixels)
     refs = dry_reference(pixels, ["marais"])
     refs = refs.where(F.col("variante").isin(list(variants))).withColumn(
         "annee_ref", F.coalesce("annee", F.lit(0))

@@ -54,22 +54,28 @@ class Inputs:
     regime_zones: DataFrame | None = None
 
 
-def station_normals(inputs: Inputs, s: Settings) -> dict[str, DataFrame]:
+def station_normals(
+    inputs: Inputs, s: Settings, keep: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> dict[str, DataFrame]:
+    """Normals per station and zone, with the rolling series they come from. Rolling series and
+    normals are read by every later step, so each goes through `keep`."""
     monthly = ref.monthly_means(
         inputs.groundwater, "station_id", "date", "value", s.month_days_min
     )
-    rolling = ref.rolling_mean_min(inputs.flow, ["station_id"], "date", "value", 7, s.q7_days_min)
-    totals = ref.rolling_sum_full(inputs.rain, ["zone_id"], "date", "value", s.windows)
+    rolling = keep(
+        ref.rolling_mean_min(inputs.flow, ["station_id"], "date", "value", 7, s.q7_days_min)
+    )
+    totals = keep(ref.rolling_sum_full(inputs.rain, ["zone_id"], "date", "value", s.windows))
+    flow = ref.flow_normals(
+        rolling, "station_id", "date", "q7", s.period, s.half_window, s.window_share, inputs.breaks
+    )
     return {
-        "ips": ref.groundwater_normals(monthly, "station_id", s.period, inputs.breaks),
-        "debit": ref.flow_normals(
-            rolling, "station_id", "date", "q7", s.period, s.half_window, s.window_share,
-            inputs.breaks,
-        ),
-        "spi": ref.spi_normals(totals, "zone_id", "date", s.period),
+        "ips": keep(ref.groundwater_normals(monthly, "station_id", s.period, inputs.breaks)),
+        "debit": keep(flow),
+        "spi": keep(ref.spi_normals(totals, "zone_id", "date", s.period)),
         "rolling": rolling,
         "totals": totals,
-    }
+    }
 
 
 def station_indices(
