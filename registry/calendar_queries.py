@@ -8,7 +8,9 @@ from registry.core import (
 )
 from sluice.functions import calendar as cal
 
-DAY = F.to_date("l_shipdate")
+
+def ship_day():
+    return F.to_date("l_shipdate")
 
 
 @query(
@@ -18,7 +20,7 @@ DAY = F.to_date("l_shipdate")
 )
 def _(t: Tables):
     return (
-        t.lineitem.groupBy(cal.iso_week_label(DAY).alias("week"))
+        t.lineitem.groupBy(cal.iso_week_label(ship_day()).alias("week"))
         .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
     )
 
@@ -29,7 +31,7 @@ def _(t: Tables):
         FROM (SELECT {sweek('l_shipdate')} AS week, count(*) AS n FROM lineitem GROUP BY 1)""",
 )
 def _(t: Tables):
-    weeks = t.lineitem.groupBy(cal.iso_week_label(DAY).alias("week")).agg(F.count("*").alias("n"))
+    weeks = t.lineitem.groupBy(cal.iso_week_label(ship_day()).alias("week")).agg(F.count("*").alias("n"))
     week = F.col("week")
     return weeks.select(
         "week",
@@ -73,7 +75,7 @@ def _(t: Tables):
        FROM lineitem GROUP BY 1""",
 )
 def _(t: Tables):
-    return t.lineitem.groupBy(cal.reference_week(DAY).alias("week")).agg(F.count("*").alias("n"))
+    return t.lineitem.groupBy(cal.reference_week(ship_day()).alias("week")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -104,7 +106,7 @@ def _(t: Tables):
               INTERVAL 1 DAY)) AS d FROM s)""",
 )
 def _(t: Tables):
-    years = t.lineitem.select(cal.iso_year(DAY).alias("year")).distinct()
+    years = t.lineitem.select(cal.iso_year(ship_day()).alias("year")).distinct()
     return cal.seasonal_windows(years, "year", 15).select("year", "week", text_day("date").alias("date"))
 
 
@@ -137,7 +139,7 @@ def _(t: Tables):
        WHERE month(d) IN (12, 1, 2, 3) GROUP BY 1""",
 )
 def _(t: Tables):
-    winter = cal.winter_label(DAY)
+    winter = cal.winter_label(ship_day())
     return (
         t.lineitem.select(winter.alias("winter")).where("winter IS NOT NULL")
         .groupBy("winter").agg(F.count("*").alias("n"))
@@ -155,12 +157,12 @@ def _(t: Tables):
 )
 def _(t: Tables):
     variant = F.when(F.col("l_returnflag") == "R", "fixed").otherwise("yearly")
-    year = cal.season_reference_year(DAY)
+    year = cal.season_reference_year(ship_day())
     done = cal.season_complete(year, F.lit("2001-11-15").cast("date"), 9)
     return (
         t.lineitem.select(
             variant.alias("variant"),
-            F.coalesce(cal.season_reference_year(DAY, variant), F.lit(-1)).alias("reference_year"),
+            F.coalesce(cal.season_reference_year(ship_day(), variant), F.lit(-1)).alias("reference_year"),
             done.alias("done"),
         )
         .groupBy("variant", "reference_year")

@@ -187,7 +187,14 @@ gw_index AS (
          periode_ref, hors_reference, date_mesure, sunday - date_mesure < 45 AS dans_composite
   FROM (SELECT *, {sample_p('moyenne')} AS p FROM gw_kept JOIN gw_normals USING (station_id, mois)
         WHERE sunday - date_mesure <= 365))"""
-START, END = cal.week_sunday(F.lit("1995-W10")), cal.week_sunday(F.lit("2001-W50"))
+
+
+def start():
+    return cal.week_sunday(F.lit("1995-W10"))
+
+
+def end():
+    return cal.week_sunday(F.lit("2001-W50"))
 
 
 @query(
@@ -200,7 +207,7 @@ START, END = cal.week_sunday(F.lit("1995-W10")), cal.week_sunday(F.lit("2001-W50
 )
 def _(t: Tables):
     rows = ix.running_month(nation_day(t), "station_id", "date", "value")
-    return rows.where((F.col("sunday") >= START) & (F.col("sunday") <= END)).select(
+    return rows.where((F.col("sunday") >= start()) & (F.col("sunday") <= end())).select(
         "station_id", text_day("sunday").alias("sunday"), r6("moyenne").alias("moyenne"), "n_jours",
         text_day("date_mesure").alias("date_mesure"),
     )
@@ -216,8 +223,8 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    rows = ix.previous_valid_month(gw_monthly(t), "station_id", 365, END)
-    return rows.where(F.col("sunday") >= START).select(
+    rows = ix.previous_valid_month(gw_monthly(t), "station_id", 365, end())
+    return rows.where(F.col("sunday") >= start()).select(
         "station_id", text_day("sunday").alias("sunday"), r6("moyenne").alias("moyenne"), "mois",
         text_day("date_mesure").alias("date_mesure"),
     )
@@ -226,7 +233,7 @@ def _(t: Tables):
 def gw_index(t: Tables) -> DataFrame:
     normals = ref.groundwater_normals(gw_monthly(t), "station_id", PERIOD)
     return ix.groundwater_index(
-        nation_day(t), normals, "station_id", "date", "value", START, END
+        nation_day(t), normals, "station_id", "date", "value", start(), end()
     )
 
 
@@ -272,7 +279,7 @@ RAIN = (NATION_DAY, STATIONS, REGION_DAY, REGION_RAIN, totals_sql("region_rain",
 def _(t: Tables):
     rolling = q7(t)
     normals = ref.flow_normals(rolling, "station_id", "date", "q7", PERIOD)
-    return _station_columns(ix.flow_index(rolling, normals, "station_id", "date", START, END))
+    return _station_columns(ix.flow_index(rolling, normals, "station_id", "date", start(), end()))
 
 
 @query(
@@ -286,7 +293,7 @@ def _(t: Tables):
 def _(t: Tables):
     totals = rain_totals(t)
     normals = ref.spi_normals(totals, "zone_id", "date", PERIOD)
-    rows = ix.spi_index(totals, normals, "zone_id", "date", START, END)
+    rows = ix.spi_index(totals, normals, "zone_id", "date", start(), end())
     return rows.select(
         "zone_id", "semaine", "indice", r6("valeur", 4).alias("valeur"), "detail.periode_ref",
         "detail.hors_reference",
@@ -450,7 +457,7 @@ CHAIN_CTES = (
 def _(t: Tables):
     inputs = chain_inputs(t)
     normals = weekly.station_normals(inputs, CHAIN)
-    by_station = weekly.station_indices(inputs, normals, CHAIN, START, END)
+    by_station = weekly.station_indices(inputs, normals, CHAIN, start(), end())
     return ix.zone_mean(by_station, inputs.stations).select(
         "zone_id", "semaine", "indice", r6("valeur").alias("valeur"), "n_stations",
         F.array_join("detail.stations", ",").alias("stations"),
@@ -520,7 +527,7 @@ def _(t: Tables):
 def _(t: Tables):
     inputs = chain_inputs(t)
     normals = weekly.station_normals(inputs, CHAIN)
-    return _station_columns(weekly.station_indices(inputs, normals, CHAIN, START, END))
+    return _station_columns(weekly.station_indices(inputs, normals, CHAIN, start(), end()))
 
 
 @query(

@@ -100,7 +100,7 @@ def smooth_sql(source: str, keys: str, value: str, name: str) -> str:
     ),
 )
 def _(t: Tables):
-    rows = ra.median_filter_3x3(pixels(t), ["marais", "date"], "db", tile=16)
+    rows = ra.median_filter_3x3(pixels(t), ["marais", "date"], "db", tile=32)
     return rows.select("marais", text_day("date").alias("date"), "ix", "iy", r6("lisse").alias("lisse"))
 
 
@@ -195,7 +195,7 @@ PASSAGES = with_sql(
 
 @query("passages", PASSAGES)
 def _(t: Tables):
-    rows = ra.passages(pixels(t), domain(t), ["ouvert", "ferme"], 0.01, minimum=2, tile=16, limit=-13.0)
+    rows = ra.passages(pixels(t), domain(t), ["ouvert", "ferme"], 0.01, minimum=2, tile=32, limit=-13.0)
     rows = rounded(rows, "surface_ha", "pct_valides", "ha_ouvert", "ha_autres").drop("ha_ferme")
     return rows.withColumn("date", text_day("date")).fillna(-1.0)
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Coefficients of algorithm AS 241 (Wichura, 1988), lowest degree first.
 AS241_CENTRE = (
@@ -140,7 +141,7 @@ def gamma_shape(mean: Column, mean_log: Column, steps: int = 10) -> Column:
     return F.when(s > 1e-12, root)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def gamma_cdf(x: pd.Series, shape: pd.Series, scale: pd.Series) -> pd.Series:
     """Regularised lower incomplete gamma function, one Arrow batch at a time: series below
     shape + 1, continued fraction above."""
