@@ -24,7 +24,7 @@ from sluice.sources import scans, sinks
 def _(t: Tables):
     path = scratch(t, "yearly")
     series = nation_day(t).select("station_id", "date", "value", F.year("date").alias("year"))
-    series.repartition("year").write.partitionBy("year").parquet(path)
+    series.hint("rebalance", "year").write.partitionBy("year").parquet(path)
     rows = scans.scan_yearly(t.spark, path, since=date(1999, 3, 15))
     return rows.withColumn("date", text_day("date"))
 

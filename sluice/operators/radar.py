@@ -126,7 +126,9 @@ def pixel_patches(flagged: DataFrame, image: Sequence[str]) -> DataFrame:
         "|", *[F.col(c).cast("string") for c in image], F.col("iy").cast("string"),
         F.col("_x").cast("string"),
     )
-    tagged = islands.join(runs, [*image, "iy", "_g"]).select(*image, "ix", "iy", run.alias("_run"))
+    tagged = cut_lineage(
+        islands.join(runs, [*image, "iy", "_g"]).select(*image, "ix", "iy", run.alias("_run"))
+    )
     below = tagged.select(
         *image, "ix", (F.col("iy") + 1).alias("iy"), F.col("_run").alias("_above")
     )

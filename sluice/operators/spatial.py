@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.components import connected_components
+from sluice.operators.radar import pixel_patches
 from sluice.session import cut_lineage
 
 
@@ -196,22 +196,11 @@ def partition_zones(
     owned = claims.groupBy("ix", "iy").agg(F.min_by("zone_id", "rang").alias("zone_id"))
     cells = territory.select("ix", "iy").distinct().join(owned, ["ix", "iy"], "left")
     cells = cut_lineage(cells.withColumn("_label", F.coalesce("zone_id", F.lit(""))))
-    key = F.concat_ws("|", "_label", F.col("ix").cast("string"), F.col("iy").cast("string"))
-    nodes = cells.select(key.alias("id"), "_label", "ix", "iy")
-    steps = F.explode(F.array(F.struct(F.lit(1).alias("dx"), F.lit(0).alias("dy")),
-                              F.struct(F.lit(0).alias("dx"), F.lit(1).alias("dy"))))
-    moved = nodes.select("_label", F.col("id").alias("a"), "ix", "iy", steps.alias("_s")).select(
-        "_label", "a", (F.col("ix") + F.col("_s.dx")).alias("ix"),
-        (F.col("iy") + F.col("_s.dy")).alias("iy"),
-    )
-    edges = moved.join(nodes, ["_label", "ix", "iy"]).select("a", F.col("id").alias("b"))
-    parts = connected_components(nodes.select("id"), edges)
-    pieces = nodes.join(parts, "id")
-    sizes = pieces.groupBy("component").agg(F.count("*").alias("_n"))
+    pieces = pixel_patches(cells.select("_label", "ix", "iy"), ["_label"])
     pieces = cut_lineage(
-        pieces.join(sizes, "component").select(
-            "ix", "iy", "component", "_label",
-            ((F.col("_label") != "") & (F.col("_n") >= fragment_cells)).alias("_large"),
+        pieces.select(
+            "ix", "iy", F.col("patch").alias("component"), "_label",
+            ((F.col("_label") != "") & (F.col("taille") >= fragment_cells)).alias("_large"),
         )
     )
     large = pieces.where("_large").select("ix", "iy", F.col("_label").alias("_zone"))

@@ -32,7 +32,7 @@ def scan_yearly(
 
 def scan_grid_csv(spark: SparkSession, path: str, cells: DataFrame) -> DataFrame:
     """Gridded weather files (`;`, gzip) kept on the cells of the territory. `cells` has maille_id,
-    LAMBX and LAMBY. Gzip files are not split, so rows are spread again after the join."""
+    LAMBX and LAMBY. A gzip file is one task, so the join that drops most rows comes first."""
     raw = spark.read.csv(path, sep=";", header=True, schema=GRID_SCHEMA, enforceSchema=False)
     return raw.join(cells, ["LAMBX", "LAMBY"]).select(
         "maille_id",
@@ -147,7 +147,7 @@ def shape_reservoir_national(raw: DataFrame, aliases: DataFrame | None = None) -
 def source_with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """Rows of `primary`, or of `fallback` when the primary feed has none; `source_donnee` records
     the origin. Whether the primary is empty is decided inside the plan."""
-    has_primary = primary.agg((F.count("*") > 0).alias("_has"))
+    has_primary = primary.limit(1).agg((F.count("*") > 0).alias("_has"))
     return (
         primary.withColumn("source_donnee", F.lit("territoire"))
         .unionByName(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,14 +70,16 @@ def merge_into(
 
     years = touched_years(batch, date)
     fresh = batch.withColumn("year", F.year(date))
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    if exists:
+    try:
         stored = spark.read.parquet(path).where(F.col("year").isin(years))
         fresh = cut_lineage(merge_observations(stored, fresh.select(*stored.columns), keys, values))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    # ranges of keys inside each year: files sorted by key, and a large year is many tasks
     (
-        fresh.repartition("year")
-        .sortWithinPartitions(*keys)
+        fresh.repartitionByRange("year", *keys)
+        .sortWithinPartitions("year", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
@@ -171,9 +174,9 @@ def export_by_year(
 
 
 def write_export(table: DataFrame, path: str) -> None:
+    """One folder of lines per ISO year; a year too large for one task is split by AQE."""
     (
-        table.repartition("year")
-        .sortWithinPartitions("semaine")
+        table.hint("rebalance", "year")
         .select("year", "value")
         .write.mode("overwrite")
         .partitionBy("year")
