@@ -120,9 +120,12 @@ def exact_quantiles(
     return grouped.select(*keys, F.col("n_total").alias("n"), *result)
 
 
-def exact_medians(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def exact_medians(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], count: str | None = None
+) -> DataFrame:
     """Median of several columns per key, each column cut into its own ranges. The columns are
-    stacked first so that one pass serves all of them."""
+    stacked first so that one pass serves all of them. `count` names the number of known values of
+    the first column."""
     long = df.select(
         *keys,
         F.explode(
@@ -135,9 +138,10 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: Sequence[str]) ->
         ).alias("_cell"),
     ).select(*keys, "_cell.*")
     medians = exact_quantiles(long, [*keys, "_measure"], "_value", {"_median": 0.5})
-    return medians.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_measure") == v, F.col("_median"))).alias(v) for v in values]
-    )
+    wide = [F.max(F.when(F.col("_measure") == v, F.col("_median"))).alias(v) for v in values]
+    if count:
+        wide.append(F.max(F.when(F.col("_measure") == values[0], F.col("n"))).alias(count))
+    return medians.groupBy(*keys).agg(*wide)
 
 
 def sorted_median(values: Column) -> Column:

@@ -139,10 +139,7 @@ def stable_class_medians(
     rows = df.where(F.col("ndvi").isNotNull() & F.col("ndmi").isNotNull()).join(
         classes, ["ix", "iy"]
     )
-    keys = [*plane, klass]
-    return rows.groupBy(*keys).agg(F.count("*").alias("n_px")).join(
-        exact_medians(rows, keys, ["ndvi", "ndmi"]), keys
-    )
+    return exact_medians(rows, [*plane, klass], ["ndvi", "ndmi"], count="n_px")
 
 
 def drift_residuals(drift: DataFrame, days: int = 7, cover_min: float = 0.5) -> DataFrame:
