@@ -23,10 +23,7 @@ def with_halo(df: DataFrame, image: Sequence[str], halo: int = 1, tile: int = TI
     """Rows repeated for each tile whose halo holds them, hash-partitioned by image and tile."""
 
     def tiles(axis: str) -> Column:
-        return F.array_distinct(
-            F.array(_tile(F.col(axis) - halo, tile), _tile(F.col(axis), tile),
-                    _tile(F.col(axis) + halo, tile))
-        )
+        return F.sequence(_tile(F.col(axis) - halo, tile), _tile(F.col(axis) + halo, tile))
 
     return (
         df.withColumn("_tx", F.explode(tiles("ix")))

@@ -39,7 +39,7 @@ def _in_blocks(df: DataFrame, block: int, halo: int) -> DataFrame:
 
     i = F.col("_i")
     return df.withColumn("_own", of(i)).withColumn(
-        "_block", F.explode(F.array_distinct(F.array(of(i - halo), of(i), of(i + halo))))
+        "_block", F.explode(F.sequence(of(i - halo), of(i + halo)))
     )
 
 
@@ -54,6 +54,7 @@ def despike_fill(
     keys = list(keys)
     placed = with_positions(df.select(*keys, time, value), keys, time)
     by_block = Window.partitionBy(*keys, "_block").orderBy("_i")
+    back = Window.partitionBy(*keys, "_block").orderBy(F.desc("_i"))
     near = F.filter(
         F.collect_list(F.struct(F.col(value).alias("v"))).over(by_block.rowsBetween(-half, half)),
         lambda p: p["v"].isNotNull(),
@@ -69,9 +70,9 @@ def despike_fill(
     firsts = blocks.where(F.col("_block") == F.col("_own")).groupBy(*keys, "_block").agg(
         F.min("_p").alias("_first")
     )
-    later = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     carried = firsts.select(
-        *keys, "_block", F.first("_first", ignorenulls=True).over(later).alias("_later")
+        *keys, "_block", F.last("_first", ignorenulls=True).over(later).alias("_later")
     )
     around = (
         blocks.withColumn(
@@ -79,7 +80,7 @@ def despike_fill(
         )
         .withColumn(
             "_next",
-            F.first("_p", ignorenulls=True).over(by_block.rowsBetween(1, Window.unboundedFollowing)),
+            F.last("_p", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)),
         )
         .where(F.col("_block") == F.col("_own"))
         .join(carried, [*keys, "_block"], "left")

@@ -24,6 +24,34 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert {got[i] for i in range(1_000, 1_301)} == {1_000}
 
 
+def test_components_of_shapes_with_many_local_minima(spark):
+    n = 1_000
+    arms = [(i, i + 1) for i in range(n // 2)] + [(i, i + 1) for i in range(n, n // 2 + 1, -1)]
+    u_shape = [(a, b) for a, b in arms if 0 <= min(a, b) and max(a, b) <= n] + [(n // 2, n // 2 + 1)]
+    zigzag = [(10_000 + i, 20_000 + i) for i in range(n)] + [(20_000 + i, 10_001 + i) for i in range(n)]
+    comb = [(30_000 + i, 30_001 + i) for i in range(n)] + [(30_000 + i, 29_000 - i) for i in range(0, n, 3)]
+    edges = spark.createDataFrame(u_shape + zigzag + comb, "a long, b long")
+    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+    got = connected_components(nodes, edges).toPandas()
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in u_shape + zigzag + comb:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    assert {r.id: r.component for r in got.itertuples()} == {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("tile", [4, 16, 256])
+def test_dilation_further_than_a_tile(spark, tile):
+    one = spark.createDataFrame([("a", 0, 0)], "im string, ix int, iy int")
+    assert grid.dilate_cells(one, ["im"], 40, tile).count() == 2 * 40 * 41 + 1
+
+
 def test_patches_equal_a_flood_fill(spark):
     mask = np.random.default_rng(8).random((40, 30)) < 0.45
     sizes = np.zeros(mask.shape, int)
