@@ -14,8 +14,9 @@ least one block. Equal blocks meet in a bucket. A bucket holds little but near c
 2. In every bucket each node is compared with the first node of the bucket: a star, as many pairs
    as rows. Most links of a group of near copies need no more.
 3. Buckets of three nodes or more that still hold several components: R-trees over their points,
-   whole buckets cut into chunks, and every pair of different components that the bound lets
-   through is verified. No pair in a bucket is left out, so no link is lost.
+   large buckets cut into chunks. Of the pairs that the bound lets through a forest is verified
+   first, then every one that is still between different components. No pair in a bucket is left
+   out, so no link is lost.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ FAMILIES = 4  # other cuts into blocks for texts with an empty block
 LEAF = 32  # points of a leaf of the tree
 CHUNK = 1_024  # nodes of a bucket in one task
 GROUP = np.uint64(0xFFFF)
+GROUPS = 256  # coordinates of the points of the tree
 
 
 def class_edges(largest: int) -> np.ndarray:
@@ -138,8 +140,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: F
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, size, grams) of `docs` (node, sig_a, text): sets of n-gram hashes, for the texts that
-    have the signature of the node."""
+    """(node, size, point, grams) of `docs` (node, sig_a, text): sets of n-gram hashes and their
+    points, for the texts that have the signature of the node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = W.numbers(2, 13)
@@ -155,26 +157,28 @@ def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
                     [
                         pa.array([nodes[first + i] for i, s in enumerate(same) if s], pa.int64()),
                         pa.array([len(g) for g, s in zip(grams, same) if s], pa.int64()),
+                        pa.array([point(g) for g, s in zip(grams, same) if s], pa.binary()),
                         pa.array([_signed(g) for g, s in zip(grams, same) if s], pa.list_(pa.int64())),
                     ],
-                    names=["node", "size", "grams"],
+                    names=["node", "size", "point", "grams"],
                 )
 
     return docs.select("node", "sig_a", "text").mapInArrow(
-        run, "node long, size long, grams array<long>"
+        run, "node long, size long, point binary, grams array<long>"
     )
 
 
 # --- the tree over the points of a bucket -----------------------------------------------------
 
 
-def _points(grams: list[np.ndarray]) -> np.ndarray:
-    """Group counts; about one group for every two n-grams, so that the bound is tight."""
-    groups = 1 << max(6, int(max(map(len, grams)) // 2).bit_length())
-    out = np.zeros((len(grams), groups), np.int32)
-    for row, g in zip(out, grams):
-        row += np.bincount(g.view(np.uint64).astype(np.uint64) % np.uint64(groups), minlength=groups).astype(np.int32)
-    return out
+def point(grams: np.ndarray) -> bytes:
+    """Counts of the groups of a set, 16 bits each, or 32 for sets where those could overflow."""
+    kind = np.uint16 if len(grams) <= 0xFFFF else np.uint32
+    return np.bincount((grams % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(kind).tobytes()
+
+
+def _points(stored: list[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(p, np.uint16 if len(p) == 2 * GROUPS else np.uint32) for p in stored], np.int32)
 
 
 class Node:
@@ -211,13 +215,30 @@ def tree_pairs(
             yield a.members[i], b.members[j]
 
 
-def _bucket_pairs(threshold: Fraction):
+def _joining(pairs: np.ndarray, labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of pairs of rows, those of a forest that joins all labels they join, best bounds first."""
+    above = {int(x): int(x) for x in labels}
+
+    def root(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    kept = []
+    for k in np.argsort(-bounds, kind="stable"):
+        a, b = root(int(labels[pairs[k, 0]])), root(int(labels[pairs[k, 1]]))
+        if a != b:
+            above[b] = a
+            kept.append(k)
+    return pairs[kept]
+
+
+def _bucket_pairs(threshold: Fraction, forest: bool):
     """Pairs of one (bucket, chunk, chunk) task that the points let through, of different labels
-    and without the pairs of the star."""
+    and without the pairs of the star: all of them, or a forest."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        grams = [np.asarray(g, dtype=np.int64) for g in rows["grams"]]
-        points, sizes = _points(grams), rows["size"].to_numpy()
+        points, sizes = _points(rows["point"].tolist()), rows["size"].to_numpy()
         node, label, pivot = (rows[c].to_numpy() for c in ("node", "label", "pivot"))
         side = rows["side"].to_numpy()
         pairs = [np.zeros((0, 2), np.int64)]
@@ -229,10 +250,13 @@ def _bucket_pairs(threshold: Fraction):
                 Node(points, sizes, one), Node(points, sizes, two), points, sizes, threshold
             ):
                 keep = (label[i] != label[j]) & (node[i] != pivot[i]) & (node[j] != pivot[j])
-                i, j = node[i[keep]], node[j[keep]]
-                pairs.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+                pairs.append(np.stack([i[keep], j[keep]], axis=1))
+        found = np.concatenate(pairs)
+        if forest and len(found):
+            shared = np.minimum(points[found[:, 0]], points[found[:, 1]]).sum(axis=1)
+            found = _joining(found, label, shared / (sizes[found[:, 0]] + sizes[found[:, 1]]))
+        ends = np.unique(np.sort(node[found], axis=1), axis=0)
+        return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]})
 
     return run
 
@@ -254,6 +278,35 @@ def _verified(pairs: DataFrame, held: DataFrame, threshold: Fraction) -> DataFra
     )
 
 
+def _more_links(
+    members: DataFrame, labels: DataFrame, held: DataFrame, threshold: Fraction, forest: bool
+) -> DataFrame:
+    """Labels (node, label) after the links inside the buckets of `members` that hold several labels."""
+    mixed = members.join(labels, "node")
+    split = mixed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    mixed = cut_lineage(mixed.join(split.where("x != y").select("key"), "key"))
+    if mixed.isEmpty():
+        return labels
+    parts = F.ceil(F.col("held") / CHUNK).cast("int")
+    mixed = mixed.select("*", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
+    mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = mixed.select(
+        "key", "pivot", "node", "label", F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
+    ).join(held.select("node", "size", "point"), "node")
+    more = dealt.groupBy("key", "i", "j").applyInPandas(_bucket_pairs(threshold, forest), "a long, b long")
+    fresh = cut_lineage(_verified(more, held, threshold))
+    at_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    at_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    merged = connected_components(
+        labels.select(F.col("label").alias("id")).distinct(),
+        fresh.join(at_a, "a").join(at_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")),
+    )
+    return cut_lineage(
+        labels.join(merged.withColumnRenamed("id", "label"), "label").select("node", F.col("component").alias("label"))
+    )
+
+
 def ngram_jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9"
 ) -> DataFrame:
@@ -265,11 +318,8 @@ def ngram_jaccard_components(
     smallest id that is not null of their component, or null. Columns besides the two are not read.
     """
     limit = Fraction(threshold)
-    rows = cut_lineage(
-        cut_lineage(signatures(docs, id_col, text_col, n, limit)).withColumn(
-            "row", F.monotonically_increasing_id()
-        )
-    )
+    signed = signatures(docs, id_col, text_col, n, limit)
+    rows = cut_lineage(signed.withColumn("row", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
     nodes = (
         rows.where("n_shingles > 0").groupBy("sig_a", "sig_b").agg(first)
@@ -291,27 +341,11 @@ def ngram_jaccard_components(
     labels = connected_components(held.select(F.col("node").alias("id")), links)
     labels = cut_lineage(labels.select(F.col("id").alias("node"), F.col("component").alias("label")))
 
-    mixed = members.where("held > 2").join(labels, "node")
-    split = mixed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    mixed = mixed.join(split.where("x != y").select("key"), "key")
-    parts = F.ceil(F.col("held") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    mixed = mixed.withColumn("parts", parts).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    dealt = mixed.select(
-        "key", "pivot", "node", "label", F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-    ).join(held, "node")
-    more = dealt.groupBy("key", "i", "j").applyInPandas(_bucket_pairs(limit), "a long, b long")
-    fresh = cut_lineage(_verified(more, held, limit))
-    at_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    at_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    merged = connected_components(
-        labels.select(F.col("label").alias("id")).distinct(),
-        fresh.join(at_a, "a").join(at_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")),
-    )
-    labels = labels.join(merged.withColumnRenamed("id", "label"), "label").select("node", "component")
+    # A forest of each bucket first: most groups are one component after it, and pairs inside a
+    # component need no look. Then every pair that is left.
+    for forest in (True, False):
+        labels = _more_links(members.where("held > 2"), labels, held, limit, forest)
+    labels = labels.withColumnRenamed("label", "component")
 
     grouped = nodes.join(labels, "node", "left").select(
         "sig_a", "sig_b", "least", F.coalesce("component", "node").alias("component")
