@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -233,34 +232,149 @@ def _joining(pairs: np.ndarray, labels: np.ndarray, bounds: np.ndarray) -> np.nd
     return pairs[kept]
 
 
+def _one_bucket(points, sizes, node, label, pivot, side, threshold: Fraction, forest: bool) -> np.ndarray:
+    """Pairs of one (bucket, chunk, chunk) that the points let through, of different labels and
+    without the pairs of the star: all of them, or a forest."""
+    pairs = [np.zeros((0, 2), np.int64)]
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(two):
+        two = one
+    if len(one):
+        for i, j in tree_pairs(Node(points, sizes, one), Node(points, sizes, two), points, sizes, threshold):
+            keep = (label[i] != label[j]) & (node[i] != pivot[i]) & (node[j] != pivot[j])
+            pairs.append(np.stack([i[keep], j[keep]], axis=1))
+    found = np.concatenate(pairs)
+    if forest and len(found):
+        shared = np.minimum(points[found[:, 0]], points[found[:, 1]]).sum(axis=1)
+        found = _joining(found, label, shared / (sizes[found[:, 0]] + sizes[found[:, 1]]))
+    return node[found]
+
+
 def _bucket_pairs(threshold: Fraction, forest: bool):
-    """Pairs of one (bucket, chunk, chunk) task that the points let through, of different labels
-    and without the pairs of the star: all of them, or a forest."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        points, sizes = _points(rows["point"].tolist()), rows["size"].to_numpy()
-        node, label, pivot = (rows[c].to_numpy() for c in ("node", "label", "pivot"))
-        side = rows["side"].to_numpy()
-        pairs = [np.zeros((0, 2), np.int64)]
-        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(two):
-            two = one
-        if len(one):
-            for i, j in tree_pairs(
-                Node(points, sizes, one), Node(points, sizes, two), points, sizes, threshold
-            ):
-                keep = (label[i] != label[j]) & (node[i] != pivot[i]) & (node[j] != pivot[j])
-                pairs.append(np.stack([i[keep], j[keep]], axis=1))
-        found = np.concatenate(pairs)
-        if forest and len(found):
-            shared = np.minimum(points[found[:, 0]], points[found[:, 1]]).sum(axis=1)
-            found = _joining(found, label, shared / (sizes[found[:, 0]] + sizes[found[:, 1]]))
-        ends = np.unique(np.sort(node[found], axis=1), axis=0)
-        return pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1]})
+    """For rows sorted by (key, i, j): a bucket at a time, whatever the borders of the batches."""
+    names = ["key", "i", "j", "pivot", "node", "label", "side", "size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(table: pa.Table) -> pa.RecordBatch:
+            c = {n: table.column(n).to_numpy() for n in names}
+            points = _points(table.column("point").to_pylist())
+            key = np.stack([c["key"], c["i"], c["j"]])
+            first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+            found = [np.zeros((0, 2), np.int64)]
+            for a, b in zip(first, [*first[1:], key.shape[1]]):
+                part = [c[n][a:b] for n in ("size", "node", "label", "pivot", "side")]
+                if b - a > 1 and (part[2] != part[2][0]).any():
+                    found.append(_one_bucket(points[a:b], *part, threshold, forest))
+            ends = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            key = [table.column(n).to_numpy() for n in ("key", "i", "j")]
+            last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0)) if len(key[0]) else []
+            if len(last):
+                cut = int(last[-1]) + 1
+                yield done(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
+        if held and sum(map(len, held)):
+            yield done(pa.Table.from_batches(held))
 
     return run
 
 
+# --- buckets ----------------------------------------------------------------------------------
+
+
+PACKED = "shard int, keys binary, nodes binary, counts binary"
+FLUSH = 2_000_000  # keys a task holds before it sends them on
+
+
+def _pack_keys(shards: int):
+    """Rows (shard, keys, nodes, counts) of (node, keys): for each key its first node in the task
+    and the number of its nodes there, so that a frequent key is one entry of a task. Further nodes
+    of a key are rows of shard -1."""
+
+    def packed(keys: list[np.ndarray], nodes: list[int]) -> Iterator[pa.RecordBatch]:
+        k = np.concatenate(keys)
+        n = np.repeat(np.array(nodes, np.int64), [len(x) for x in keys])
+        order = np.lexsort((n, k))
+        k, n = k[order], n[order]
+        new = np.concatenate([[True], k[1:] != k[:-1]])
+        first = np.flatnonzero(new)
+        counts = np.diff(np.append(first, len(k))).astype(np.int32)
+        # keys are sorted, so the keys of a shard are a run
+        borders = (np.arange(1, shards, dtype=object) * (1 << 64) // shards).astype(np.uint64)
+        at = [0, *np.searchsorted(k[first], borders), len(first)]
+        rows = [(s, k[first][a:b], n[first][a:b], counts[a:b]) for s, (a, b) in enumerate(zip(at, at[1:])) if a < b]
+        if not new.all():
+            rows.append((-1, k[~new], n[~new], np.zeros(0, np.int32)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32())]
+            + [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in (1, 2, 3)],
+            names=["shard", "keys", "nodes", "counts"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, held = [], [], 0
+        for batch in batches:
+            for node, own in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = own.values.to_numpy().view(np.uint64)
+                if len(own):
+                    keys.append(own)
+                    nodes.append(node)
+                    held += len(own)
+                if held > FLUSH:
+                    yield from packed(keys, nodes)
+                    keys, nodes, held = [], [], 0
+        if held:
+            yield from packed(keys, nodes)
+
+    return run
+
+
+def _shared_keys(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """(key, pivot, node, held) of the keys of a shard that two nodes or more have: the pivot is
+    the first of the nodes, and held their number."""
+    k, n, c = (
+        np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+        for name, kind in (("keys", np.uint64), ("nodes", np.int64), ("counts", np.int32))
+    )
+    order = np.lexsort((n, k))
+    k, n, c = k[order], n[order], c[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    size = np.diff(np.append(first, len(k)))
+    held = np.repeat(np.add.reduceat(c, first), size)
+    keep = held > 1
+    return pa.table(
+        {"key": k[keep].view(np.int64), "pivot": np.repeat(n[first], size)[keep], "node": n[keep], "held": held[keep]}
+    )
+
+
+def bucket_members(nodes: DataFrame) -> DataFrame:
+    """(key, pivot, node, held) of `nodes` (node, keys): the nodes of every key of two or more."""
+    shards = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = cut_lineage(nodes.select("node", "keys").mapInArrow(_pack_keys(shards), PACKED))
+    firsts = cut_lineage(
+        packed.where("shard >= 0").groupBy("shard").applyInArrow(
+            _shared_keys, "key long, pivot long, node long, held long"
+        )
+    )
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["key", "node"]
+                )
+
+    rest = packed.where("shard < 0").select("keys", "nodes").mapInArrow(unpack, "key long, node long")
+    buckets = firsts.select("key", "pivot", "held").distinct()
+    return firsts.unionByName(rest.join(buckets, "key").select("key", "pivot", "node", "held"))
+
+
 # --- the join ---------------------------------------------------------------------------------
 
 
@@ -294,7 +408,8 @@ def _more_links(
         "key", "pivot", "node", "label", F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
     ).join(held.select("node", "size", "point"), "node")
-    more = dealt.groupBy("key", "i", "j").applyInPandas(_bucket_pairs(threshold, forest), "a long, b long")
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    more = dealt.mapInArrow(_bucket_pairs(threshold, forest), "a long, b long")
     fresh = cut_lineage(_verified(more, held, threshold))
     at_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     at_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
@@ -326,11 +441,8 @@ def ngram_jaccard_components(
         .select("sig_a", "sig_b", F.col("first.row").alias("node"), F.col("first.id").alias("least"))
     )
     nodes = cut_lineage(nodes)
-    keys = rows.join(nodes.select(F.col("node").alias("row")), "row").select(
-        F.col("row").alias("node"), F.explode("keys").alias("key")
-    )
-    buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("held"))
-    members = cut_lineage(keys.join(buckets.where("held > 1"), "key"))
+    keyed = rows.where(F.size("keys") > 0).select(F.col("row").alias("node"), "keys")
+    members = cut_lineage(bucket_members(keyed.join(nodes.select("node"), "node")))
     known = members.select("node").distinct().join(nodes, "node")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     held = known.join(texts, F.col("least").eqNullSafe(F.col("_id"))).select("node", "sig_a", "text")
