@@ -201,11 +201,13 @@ def archived_pages(pages: DataFrame, folder: str, id_col: str = "page_id", **nam
     rows = captures.select(
         "capture", F.col("metadata.page").cast(kind).alias(id_col), F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("_to"),
+        # a response looks itself up, so that those without a reference are no single key
+        F.coalesce("response.refers_to", "capture").alias("_to"),
     )
     first = rows.where(F.col("record_type") == "response").select(
-        F.col("capture").alias("_to"), F.col(id_col).alias("refers_to")
+        F.col("capture").alias("_to"), F.col(id_col).alias("_first")
     )
+    refers = F.when(F.col("record_type") == "revisit", F.col("_first")).alias("refers_to")
     return rows.join(first, "_to", "left").select(
-        id_col, "payload_bytes", "payload_digest", "record_type", "refers_to"
+        id_col, "payload_bytes", "payload_digest", "record_type", refers
     )
