@@ -86,7 +86,8 @@ def _encode(keys: DataFrame, number: int, level: int) -> Level:
 
     merged = keys.mapInPandas(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value"))
     table = np.zeros(bits // 64, np.uint64)
-    for r in merged.toLocalIterator():
+    # a part of the bits at a time: 2^26 bits are a million rows
+    for r in merged.coalesce(1 + (bits >> 26)).toLocalIterator():
         table[r.word] = np.int64(r.value).view(np.uint64)
     return Level(bits, table)
 
@@ -106,7 +107,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     def hashes(df: DataFrame) -> DataFrame:
         key = F.col(df.columns[0])
         a, b = key_hashes(key)
-        return df.where(key.isNotNull()).distinct().select(a.alias("a"), b.alias("b"))
+        return df.where(key.isNotNull()).select(a.alias("a"), b.alias("b"))
 
     yes = cut_lineage(hashes(listed))
     no = cut_lineage(hashes(universe).join(yes, ["a", "b"], "left_anti"))
@@ -203,8 +204,8 @@ def judge_urls(
     judged = pages.select(F.col(id_col), url_host(url).alias("host"), url_path(url).alias("path")).withColumns(
         {"_keys": rule_keys(F.col("host"), F.col("path")), "_domains": host_suffixes(F.col("host"))}
     )
-    keys = judged.select(F.explode("_keys").alias("key")).distinct()
-    domains = judged.select(F.explode("_domains").alias("key")).distinct()
+    # one universe: rules end in a slash, domains do not
+    keys = cut_lineage(judged.select(F.explode(F.concat("_keys", "_domains")).alias("key")).distinct())
     lists = {
         action: spark.createDataFrame([(k,) for a, k in rules if a == action], "key string")
         for action in ("allow", "block")
@@ -213,7 +214,7 @@ def judge_urls(
         blocked = spark.createDataFrame([(h,) for h in blocked], "key string")
     allow, block = (build_cascade(lists[a], keys) for a in ("allow", "block"))
     allowed, barred = first_listed(spark, [allow, block], "_keys")
-    (listed,) = first_listed(spark, [build_cascade(blocked, domains)], "_domains")
+    (listed,) = first_listed(spark, [build_cascade(blocked, keys)], "_domains")
     judged = judged.withColumns({"_allow": allowed, "_block": barred, "_listed": listed})
     place = F.when(F.col("_allow") == 0, F.col("_block")).when(F.col("_block") == 0, F.col("_allow")).otherwise(
         F.least("_allow", "_block")
