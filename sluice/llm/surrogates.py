@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -64,7 +64,8 @@ PATTERNS = {
 }
 ENTITY = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in PATTERNS.items()))
 # What every entity contains; texts without it are not looked at again.
-TRACE = rf"[@+]|[0-9]{{3}}|(?i:password|passwd|pwd|token|secret|key)|[0-9]\.[0-9]|\b(?:{_TITLE})\.? "
+TRACE_CHARS = "[0-9@=:]"
+TRACE_TEXTS = ("AKIA", "ASIA", *_TITLE.split("|"))
 DIGITS = {"card", "phone", "ssn"}
 
 
@@ -194,6 +195,14 @@ def render(kind: str, value: str, surrogate: str) -> str:
     return surrogate
 
 
+def may_hold(text: Column) -> Column:
+    """False only for texts without an entity, and for null."""
+    out = text.rlike(TRACE_CHARS)
+    for t in TRACE_TEXTS:
+        out = out | F.contains(text, F.lit(t))
+    return F.coalesce(out, F.lit(False))
+
+
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(text_hash, kind, value): the canonical entities of each text, once each."""
 
@@ -213,7 +222,7 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
             )
 
     text = F.col(text_col)
-    return docs.where(text.rlike(TRACE)).select(F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
+    return docs.where(may_hold(text)).select(F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
         run, "text_hash long, kind string, value string"
     )
 
@@ -272,7 +281,7 @@ def _with_surrogates(docs: DataFrame, text_col: str, key: str) -> DataFrame:
     )
     by_text = cut_lineage(by_text)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_row"), F.col(text_col).alias("text"))
-    touched = rows.where(F.col("text").rlike(TRACE)).withColumn("text_hash", F.xxhash64("text"))
+    touched = rows.where(may_hold(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
     touched = touched.join(by_text, "text_hash", "left").select("text", "known", "_row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +296,7 @@ def _with_surrogates(docs: DataFrame, text_col: str, key: str) -> DataFrame:
 
     kind = rows.schema["_row"].dataType.simpleString()
     done = touched.mapInArrow(run, f"_row {kind}, text string, n long")
-    rest = rows.where(~F.coalesce(F.col("text").rlike(TRACE), F.lit(False)))
+    rest = rows.where(~may_hold(F.col("text")))
     return done.unionByName(rest.select("_row", "text", F.lit(0).cast("long").alias("n")))
 
 
