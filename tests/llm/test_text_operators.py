@@ -114,7 +114,7 @@ def test_packing_is_a_round_trip(docs, rows, empty):
 def test_packing_keeps_every_capacity(rule):
     rng = np.random.default_rng(3)
     histogram = {int(n): int(rng.integers(1, 50)) for n in rng.choice(np.arange(1, 101), 60, replace=False)}
-    cap = packing.Capacity(tokens=100, documents=4, cost=6_000 if False else 10_000, rule=rule)
+    cap = packing.Capacity(tokens=100, documents=4, cost=10_000, rule=rule)
     bins, seen = defaultdict(list), Counter()
     for length, a, b, first, per, base in packing.plan_best_fit(histogram, cap):
         for rank in range(a, b):
@@ -183,7 +183,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
 
 def test_main_texts(spark):
     bodies = [PAGE % ("reader " * 99)] * 2 + [
-        PAGE.replace("Second", f"Other {i}").replace("Title", f"Title {i}") % "r" for i in range(8)
+        PAGE.replace("Second", f"Other {i}").replace("Title", f"Title {i}").replace("First", f"Line {i} is the first") % "r" for i in range(8)
     ]
     data = [(i, "http://A.example/x", b) for i, b in enumerate(bodies)]
     data += [(90, None, None), (91, "nothing", ""), (92, "http://b/", "plain  text"), (92, "http://b/", "plain  text"),
@@ -191,7 +191,7 @@ def test_main_texts(spark):
     pages = spark.createDataFrame(data, "page_id long, url string, html string")
     got = {key(r.page_id): r for r in html_text.main_texts(pages).collect()}
     assert got[0].text == "Title & more\nFirst line goes on.\nSecond <x> ©"
-    assert got[5].text == "Title 3 & more\nFirst line goes on.\nOther 3 <x> ©"
+    assert got[5].text == "Title 3 & more\nLine 3 is the first line goes on.\nOther 3 <x> ©"
     assert [got[i].text for i in (90, 91, 92, 93, -1)] == ["", "", "plain text", "unclosed", "deep"]
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert html_text.main_texts(pages).count() == len(data)
