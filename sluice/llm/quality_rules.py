@@ -234,10 +234,11 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that are kept, with their columns."""
-    counted = with_counts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).drop("text")
-    rules = learned_from(cut_lineage(counted.withColumnRenamed("id", id_col)), labels, id_col)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = with_counts(docs.select(row.alias("_row"), F.col(text_col).alias("text")))
-    kept = judged.where(~F.col("base_failed") & ~covered(rules)).select("_row")
+    """The rows of `docs` that are kept, with their columns. Rows are written with their counts
+    first: a filter on counts that are still expressions would compute them for every mention."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    counted = with_counts(docs.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text"))).drop("text")
+    counted = cut_lineage(counted)
+    rules = learned_from(counted.withColumnRenamed("id", id_col), labels, id_col)
+    kept = counted.where(~F.col("base_failed") & ~covered(rules)).select("_row")
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
