@@ -167,7 +167,7 @@ def _(t: Tables):
     "monthly_median",
     with_sql(
         f"""SELECT ix, iy, annee, coalesce({s6('median(ndvi)')}, -9) AS ndvi, coalesce({s6('median(ndmi)')}, -9) AS ndmi,
-                   least(count(ndvi), 254) AS n_obs FROM pix GROUP BY 1, 2, 3""",
+                   count(ndvi) AS n_obs FROM pix GROUP BY 1, 2, 3""",
         PIX,
     ),
 )

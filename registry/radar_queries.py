@@ -237,35 +237,39 @@ def _(t: Tables):
 
 
 def trend_sql(source: str, keys: str, year: str, value: str) -> str:
-    """Definition over pairs; series without ties only have the exact p value."""
+    """Definition over pairs. The p value is exact without ties; with ties it is that of the normal
+    law, the complement of P(1/2, z^2 / 2) by its power series. Series under 5 years have counts only."""
     table = ", ".join(f"({n}, {c}, {p!r})" for n, c, p in ra.kendall_exact_rows(9))
-    return f"""SELECT {keys}, n, first, last, {s6('med')} AS median, {s6('slope')} AS slope,
-        {s6('sl[greatest(round_even((total - 1.959963984540054 * sigma) / 2, 0) - 1, 0)::INT + 1]')} AS slope_low,
-        {s6('sl[least(round_even((total + 1.959963984540054 * sigma) / 2, 0), total - 1)::INT + 1]')} AS slope_high,
-        {s6('(con - dis) / sqrt(total * (total - tied))')} AS tau, coalesce(CASE WHEN tied = 0 THEN {s6('x.p')} END, -1) AS p
+    half = "(con - dis) * (con - dis) / (sigma * sigma) / 2"
+    low = "sl[greatest(round_even((total - 1.959963984540054 * sigma) / 2, 0) - 1, 0)::INT + 1]"
+    high = "sl[least(round_even((total + 1.959963984540054 * sigma) / 2, 0), total - 1)::INT + 1]"
+    p = f"""CASE WHEN tied = 0 THEN x.p WHEN con = dis THEN 1.0 ELSE
+          1 - list_sum(list_transform(range(0, 120), lambda k: exp((0.5 + k) * ln({half}) - {half} - lgamma(1.5 + k)))) END"""
+    return f"""SELECT {keys}, n, first, last, {s6('med')} AS median, {s6('slope')} AS slope, {s6('slope_low')} AS slope_low,
+        {s6('slope_high')} AS slope_high, {s6('tau')} AS tau, {s6('p')} AS p FROM (
+      SELECT {keys}, n, first, last, med, CASE WHEN n >= 5 THEN slope END AS slope, CASE WHEN n >= 5 THEN {low} END AS slope_low,
+        CASE WHEN n >= 5 THEN {high} END AS slope_high,
+        CASE WHEN n >= 5 AND total > tied THEN (con - dis) / sqrt(total * (total - tied)) END AS tau,
+        CASE WHEN n >= 5 AND sigma > 0 THEN {p} END AS p
       FROM (SELECT *, sqrt((n * (n - 1) * (2 * n + 5) - t1) / 18::DOUBLE) AS sigma, least(con, dis) AS c FROM (
-          SELECT {keys}, count(*)::BIGINT AS total, median(s) AS slope, list_sort(list(s)) AS sl, count(*) FILTER (WHERE s > 0) AS con,
-            count(*) FILTER (WHERE s < 0) AS dis
-          FROM (SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, (b.{value} - a.{value}) / (b.{year} - a.{year}) AS s
-                FROM {source} a JOIN {source} b USING ({keys}) WHERE b.{year} > a.{year}) GROUP BY ALL)
-        JOIN (SELECT {keys}, count(*) AS n, min({year})::INT AS first, max({year})::INT AS last, median({value}) AS med,
+          SELECT {keys}, count(*) AS n, min({year})::INT AS first, max({year})::INT AS last, median({value}) AS med,
             sum((k - 1) / 2) AS tied, sum((k - 1) * (2 * k + 5)) AS t1
-          FROM (SELECT *, count(*) OVER (PARTITION BY {keys}, {value}) AS k FROM {source}) GROUP BY ALL HAVING count(*) >= 5) USING ({keys})) w
-      LEFT JOIN (VALUES {table}) x(xn, xc, p) ON xn = n AND xc = c"""
+          FROM (SELECT *, count(*) OVER (PARTITION BY {keys}, {value}) AS k FROM {source}) GROUP BY ALL)
+        LEFT JOIN (SELECT {keys}, count(*)::BIGINT AS total, median(s) AS slope, list_sort(list(s)) AS sl,
+            count(*) FILTER (WHERE s > 0) AS con, count(*) FILTER (WHERE s < 0) AS dis
+          FROM (SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, (b.{value} - a.{value}) / (b.{year} - a.{year}) AS s
+                FROM {source} a JOIN {source} b USING ({keys}) WHERE b.{year} > a.{year}) GROUP BY ALL) USING ({keys})) w
+      LEFT JOIN (VALUES {table}) x(xn, xc, p) ON xn = n AND xc = c)"""
 
 
 def trend_columns(df: DataFrame) -> DataFrame:
-    """Ties leave the exact p value out of the comparison."""
-    df = df.where("n >= 5").withColumn("n", F.col("n").cast("long"))
+    df = df.withColumn("n", F.col("n").cast("long"))
     return rounded(df, "median", "slope", "slope_low", "slope_high", "tau", "p")
 
 
-@query("winter_trend", with_sql(trend_sql("winters", "marais, variante", "hiver", "surface_ha").replace("coalesce(CASE WHEN tied = 0 THEN", "(CASE WHEN tied = 0 THEN").replace("END, -1) AS p", "ELSE -1 END) AS p"), PASSES))
+@query("winter_trend", with_sql(trend_sql("winters", "marais, variante", "hiver", "surface_ha"), PASSES))
 def _(t: Tables):
-    areas = ra.winter_areas(passes(t), 30)
-    tied = areas.groupBy("marais", "variante").agg((F.count_distinct("surface_ha") < F.count("*")).alias("_tied"))
-    rows = trend_columns(ra.winter_trend(passes(t), 30)).join(tied, ["marais", "variante"])
-    return rows.withColumn("p", F.when(F.col("_tied"), -1.0).otherwise(F.col("p"))).drop("_tied")
+    return trend_columns(ra.winter_trend(passes(t), 30))
 
 
 # --- K11 to K15 ---------------------------------------------------------------------------------

@@ -97,26 +97,29 @@ def _(t: Tables):
 @query(
     "seasonal_extreme_trend",
     with_sql(
-        "SELECT * EXCLUDE (p) FROM (" + trend_sql("known", "station_id, mesure", "year", "value") + ")",
+        trend_sql("known", "station_id, mesure", "year", "value"),
         NATION_DAY, EXTREMES, "known AS (SELECT * FROM extremes WHERE value IS NOT NULL)",
     ),
 )
 def _(t: Tables):
-    return trend_columns(radar.trend_test(extremes(t), ["station_id", "mesure"], "year", "value")).drop("p")
+    return trend_columns(radar.trend_test(extremes(t), ["station_id", "mesure"], "year", "value"))
 
 
 @query(
     "seasonal_extreme_breaks",
     with_sql(
-        "SELECT station_id, annee_rupture::INT AS annee_rupture, k, p_valeur, ecart FROM pt_out",
+        """SELECT split_part(station_id, '/', 1) AS station_id, split_part(station_id, '/', 2) AS mesure,
+             annee_rupture::INT AS annee_rupture, k, p_valeur, ecart FROM pt_out""",
         NATION_DAY, EXTREMES,
-        "yearly AS (SELECT station_id, year, value FROM extremes WHERE mesure = 'amplitude' AND value IS NOT NULL)",
+        "yearly AS (SELECT station_id || '/' || mesure AS station_id, year, value FROM extremes WHERE value IS NOT NULL)",
         pettitt_sql("yearly", "pt"),
     ),
 )
 def _(t: Tables):
-    rows = ref.pettitt_breaks(extremes(t).where("mesure = 'amplitude'"), ["station_id"], False, 5, 0.3)
-    return rounded(rows, "k", "p_valeur", "ecart").select("station_id", "annee_rupture", "k", "p_valeur", "ecart")
+    rows = ref.pettitt_breaks(extremes(t), ["station_id", "mesure"], False, 5, 0.3)
+    return rounded(rows, "k", "p_valeur", "ecart").select(
+        "station_id", "mesure", "annee_rupture", "k", "p_valeur", "ecart"
+    )
 
 
 @query(

@@ -14,11 +14,11 @@ DECREES = """decrees AS (
     CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate::DATE - (o_orderkey % 5)::INT END AS date_signature,
     CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate::DATE + (o_custkey % 40)::INT END AS date_fin,
     CASE WHEN o_orderstatus = 'F' THEN 'SUP' ELSE 'SOU' END AS type_zone_alerte,
-    ' Natión-' || c_nationkey::VARCHAR || '. ' AS nom_zone_alerte,
+    CASE WHEN o_orderdate >= DATE '1996-02-01' THEN ' Natión-' || c_nationkey::VARCHAR || '. ' END AS nom_zone_alerte,
     CASE left(o_orderpriority, 1) WHEN '1' THEN 'crise' WHEN '2' THEN 'alerte_renforcee'
       WHEN '3' THEN 'alerte' WHEN '4' THEN 'vigilance' END AS niveau_gravite,
-    CASE WHEN c_nationkey < 23 THEN 'N' || lpad(c_nationkey::VARCHAR, 2, '0') END AS zone_id
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= DATE '1996-02-01')"""
+    CASE WHEN c_nationkey < 23 AND o_orderdate >= DATE '1996-02-01' THEN 'N' || lpad(c_nationkey::VARCHAR, 2, '0') END AS zone_id
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
 LEVELS = f"""sundays AS (SELECT unnest(generate_series({ssunday("'1996-W01'")}, {ssunday("'2001-W52'")},
       INTERVAL 7 DAY))::DATE AS sunday),
   in_force AS (SELECT zone_id, type_zone_alerte, nom_zone_alerte, sunday, CASE niveau_gravite WHEN 'crise' THEN 4
@@ -42,16 +42,17 @@ ALL = (*BASE, DECREES, LEVELS, TABLE)
 
 
 def decrees(t: Tables) -> DataFrame:
+    """All orders; those before February 1996 don't name their zones."""
     day, key = F.to_date("o_orderdate"), F.col("o_orderkey")
     p = F.substring("o_orderpriority", 1, 1)
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).where(
-        day >= F.lit("1996-02-01").cast("date")
-    ).select(
+    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         key.alias("arrete_id"), day.alias("date_debut"),
         F.when(key % 7 != 0, F.date_sub(day, (key % 5).cast("int"))).alias("date_signature"),
         F.when(key % 50 != 0, F.date_add(day, (F.col("o_custkey") % 40).cast("int"))).alias("date_fin"),
         F.when(F.col("o_orderstatus") == "F", "SUP").otherwise("SOU").alias("type_zone_alerte"),
-        F.concat(F.lit(" Natión-"), "c_nationkey", F.lit(". ")).alias("nom_zone_alerte"),
+        F.when(
+            day >= F.lit("1996-02-01").cast("date"), F.concat(F.lit(" Natión-"), "c_nationkey", F.lit(". "))
+        ).alias("nom_zone_alerte"),
         F.when(p == "1", "crise").when(p == "2", "alerte_renforcee").when(p == "3", "alerte")
         .when(p == "4", "vigilance").alias("niveau_gravite"),
     )
@@ -93,14 +94,14 @@ def _(t: Tables):
 @query(
     "unmatched_names",
     with_sql(
-        "SELECT DISTINCT type_zone_alerte, nom_zone_alerte FROM decrees WHERE zone_id IS NULL", DECREES
+        "SELECT DISTINCT type_zone_alerte, nom_zone_alerte FROM decrees WHERE zone_id IS NULL AND nom_zone_alerte IS NOT NULL", DECREES
     ),
 )
 def _(t: Tables):
     return va.unmatched_names(matched(t))
 
 
-@query("first_detailed_year", with_sql("SELECT min(year(date_debut))::INT AS annee FROM decrees", DECREES))
+@query("first_detailed_year", with_sql("SELECT min(year(date_debut))::INT AS annee FROM decrees WHERE nom_zone_alerte IS NOT NULL", DECREES))
 def _(t: Tables):
     return va.first_detailed_year(decrees(t))
 

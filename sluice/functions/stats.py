@@ -141,10 +141,32 @@ def gamma_shape(mean: Column, mean_log: Column, steps: int = 10) -> Column:
     return F.when(s > 1e-12, root)
 
 
+LARGE_SHAPE = 1e4  # from here on the uniform expansion is exact to double precision
+
+
+def _near_normal(k: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """P(k, t) for large k by Temme's uniform expansion: a normal law in eta, the signed root of
+    2 (mu - ln(1 + mu)) with mu = t / k - 1, and a correction that vanishes away from eta = 0."""
+    from math import erfc
+
+    mu = (t - k) / k
+    small = np.clip(mu, -0.01, 0.01)
+    series = np.polyval([(-1.0) ** j / (j + 2) for j in range(9, -1, -1)], small) * small * small
+    with np.errstate(all="ignore"):
+        half = np.where(np.abs(mu) <= 0.01, series, mu - np.log1p(mu))
+    eta = np.sign(mu) * np.sqrt(2 * half)
+    e = np.clip(eta, -0.1, 0.1)  # beyond, the factor exp(-k eta^2 / 2) is below 1e-21
+    c0 = np.polyval([-139 / 777600, 1 / 2835, 1 / 864, -2 / 135, 1 / 12, -1 / 3], e)
+    c1 = np.polyval([1 / 378, -1 / 288, -1 / 540], e)
+    upper = np.array([erfc(v) / 2 for v in -eta * np.sqrt(k / 2)])
+    return upper - np.exp(-k * half) / np.sqrt(2 * np.pi * k) * (c0 + c1 / k)
+
+
 @F.pandas_udf(DoubleType())
 def gamma_cdf(x: pd.Series, shape: pd.Series, scale: pd.Series) -> pd.Series:
     """Regularised lower incomplete gamma function, one Arrow batch at a time: series below
-    shape + 1, continued fraction above."""
+    shape + 1, continued fraction above, uniform expansion for large shapes. The loops end on
+    convergence, after a few times the root of the shape."""
     from math import lgamma
 
     k = shape.to_numpy(float)
@@ -156,27 +178,35 @@ def gamma_cdf(x: pd.Series, shape: pd.Series, scale: pd.Series) -> pd.Series:
     with np.errstate(all="ignore"):
         front = np.exp(k * np.log(t) - t - log_norm)
 
-    low = known & (t > 0) & (t < k + 1)
+    large = known & (t > 0) & (k >= LARGE_SHAPE)
+    if large.any():
+        out[large] = _near_normal(k[large], t[large])
+
+    low = known & (t > 0) & (t < k + 1) & (k > 0) & ~large
     if low.any():
         a, u = k[low], t[low]
         term = 1 / a
         total = term.copy()
-        for n in range(1, 10_000):
+        n = 0
+        while (term >= total * 1e-17).any():
+            n += 1
             term = term * u / (a + n)
             total += term
-            if (term < total * 1e-17).all():
-                break
         out[low] = front[low] * total
 
-    high = known & (t >= k + 1)
+    high = known & (t >= k + 1) & (k > 0) & ~large
     if high.any():
+        # the factors of the fraction tend to 1: stop once all are 1 up to the last two bits
         a, u = k[high], t[high]
         tiny = 1e-300
         b = u + 1 - a
         c = np.full_like(u, 1 / tiny)
         d = 1 / b
         h = d.copy()
-        for n in range(1, 10_000):
+        delta = np.zeros_like(u)
+        n = 0
+        while (np.abs(delta - 1) > 5e-16).any():
+            n += 1
             an = -n * (n - a)
             b = b + 2
             d = an * d + b
@@ -186,7 +216,5 @@ def gamma_cdf(x: pd.Series, shape: pd.Series, scale: pd.Series) -> pd.Series:
             d = 1 / d
             delta = d * c
             h = h * delta
-            if (np.abs(delta - 1) < 1e-16).all():
-                break
         out[high] = 1 - front[high] * h
     return pd.Series(out).where(known, None)

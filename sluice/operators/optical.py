@@ -106,10 +106,15 @@ def monthly_median(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.median("ndvi").alias("ndvi"),
         F.median("ndmi").alias("ndmi"),
-        F.least(F.count("ndvi"), F.lit(COUNT_CAP)).alias("n_obs"),
+        F.count("ndvi").alias("n_obs"),
     )
 
 
+def stored_count(count: Column) -> Column:
+    """A count in the one byte of the stored images: `COUNT_CAP` stands for that many or more."""
+    return F.least(count, F.lit(COUNT_CAP)).cast("short")
+
+
 def quantise(value: Column) -> Column:
     """Stored integer of an index: half to even, missing as -32768."""
     return F.coalesce(F.rint(value * SCALE), F.lit(float(NODATA))).cast("short")

@@ -355,8 +355,7 @@ def trend_test(
         F.when(enough, F.get("_slopes", low.cast("int"))).alias("slope_low"),
         F.when(enough, F.get("_slopes", high.cast("int"))).alias("slope_high"),
         F.when(enough, tau).alias("tau"),
-        F.when(enough & (F.col("_tied") == 0) & (F.col("n") <= EXACT_KENDALL),
-               F.least("_con", "_dis")).alias("_c"),
+        F.when(enough & (F.col("_tied") == 0), F.least("_con", "_dis")).alias("_c"),
         F.when(enough & (variance > 0), gap * gap / variance / 2).alias("_half"),
     )
     spark = yearly.sparkSession
@@ -364,9 +363,15 @@ def trend_test(
     joined = tested.join(F.broadcast(exact), ["n", "_c"], "left")
     # erfc(|z| / sqrt 2) is 1 - P(1/2, z^2 / 2)
     normal = 1 - gamma_cdf(F.col("_half"), F.lit(0.5), F.lit(1.0))
+    # with at most one pair against the trend the exact value is 2 / n! or 2 / (n - 1)! for any n
+    ends = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.col("n") - F.col("_c"), F.lit(1)).cast("int")),
+        F.lit(2.0), lambda total, i: total / i,
+    )
+    steep = F.when((F.col("n") > EXACT_KENDALL) & (F.col("_c") <= 1), ends)
     return joined.select(
         *keys, "n", "first", "last", "median", "slope", "slope_low", "slope_high", "tau",
-        F.coalesce("_p", normal).alias("p"),
+        F.coalesce("_p", steep, normal).alias("p"),
     )
 
 

@@ -343,13 +343,12 @@ def flow_normals(
     per_year = days.groupBy(
         station, F.col("w.week").alias("semaine"), F.col("w.year").alias("year")
     ).agg(F.collect_list("v").alias("v"))
-    if share < 0.5:  # a window cut by the ends of the data could count: keep the years observed
-        year = F.year(date)
-        span = rolling.agg(F.min(year).alias("a"), F.max(year).alias("b"))
-        per_year = per_year.where(
-            (F.col("year") >= span.select("a").scalar())
-            & (F.col("year") <= span.select("b").scalar())
-        )
+    # years observed only: the ends of the data reach into the windows of the years next to them
+    year = F.year(date)
+    span = rolling.agg(F.min(year).alias("a"), F.max(year).alias("b"))
+    per_year = per_year.where(
+        (F.col("year") >= span.select("a").scalar()) & (F.col("year") <= span.select("b").scalar())
+    )
     valid = per_year.where(F.size("v") >= minimum)
     grouped = valid.groupBy(station, "semaine").agg(
         F.sort_array(F.collect_list(F.struct("year", "v"))).alias("_rows")

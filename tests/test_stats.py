@@ -1,4 +1,4 @@
-from math import exp
+from math import exp, lgamma, log
 from statistics import NormalDist
 
 import numpy as np
@@ -134,3 +134,40 @@ def test_spearman_needs_three_rows(spark):
     got = {r["k"]: r["rho"] for r in spearman(df, ["k"], "x", "y").collect()}
     assert got["a"] is None
     assert got["b"] == pytest.approx(-1)
+
+
+@pytest.mark.parametrize("k", [1e-2, 1.0, 1e3, 9_999.0, 1e4, 1e5, 1e7, 1e9, 1e11])
+def test_gamma_cdf_at_its_shape(k):
+    """P(k, k) is 1 - exp(-1) at 1 and tends to 1/2 + 1 / (3 sqrt(2 pi k))."""
+    import pandas as pd
+
+    one = pd.Series([1.0])
+    got = stats.gamma_cdf.func(pd.Series([k]), pd.Series([k]), one)[0]
+    if k >= 1e3:
+        root = (2 * np.pi * k) ** 0.5
+        assert got == pytest.approx(0.5 + 1 / (3 * root) + 1 / (540 * k * root), abs=1e-9)
+    else:
+        assert got == pytest.approx({1e-2: 0.9603474235215095, 1.0: 1 - exp(-1)}[k], abs=1e-12)
+
+
+def test_gamma_cdf_of_a_large_shape_by_the_poisson_sum():
+    import pandas as pd
+
+    k = 20_000
+    for x in (19_500.0, 20_000.0, 20_300.0):
+        want = 1 - sum(exp(i * log(x) - x - lgamma(i + 1)) for i in range(k))
+        got = stats.gamma_cdf.func(pd.Series([x]), pd.Series([float(k)]), pd.Series([1.0]))[0]
+        assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_trend_of_a_long_series_that_only_rises(spark):
+    """Beyond the table the exact value is still used for at most one pair against the trend."""
+    from math import factorial
+
+    from sluice.operators.radar import trend_test
+
+    rows = [("up", y, float(y)) for y in range(40)]
+    rows += [("swap", y, float({5: 6, 6: 5}.get(y, y))) for y in range(40)]
+    got = {r.k: r.p for r in trend_test(spark.createDataFrame(rows, "k string, y int, v double"), ["k"], "y", "v").collect()}
+    assert got["up"] == pytest.approx(2 / factorial(40), rel=1e-9)
+    assert got["swap"] == pytest.approx(2 / factorial(39), rel=1e-9)
