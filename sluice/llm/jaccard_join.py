@@ -6,9 +6,9 @@ most the summed minima with the largest coordinates of the box, so points and bo
 reach the threshold are never verified.
 
 One tree over all texts has hundreds of useful coordinates and boxes that all overlap, so the top
-level is cut by the counts themselves: for texts of a size class the groups form m blocks, one more
-than the n-grams in which two linked texts can differ, so linked texts have the same counts in at
-least one block. Equal blocks meet in a bucket. A bucket holds little but near copies.
+level is cut by the counts themselves: for texts of a size class the groups form m blocks, more than
+the n-grams in which two linked texts can differ, so linked texts have the same counts in at least
+one block. Equal blocks meet in a bucket. A bucket holds little but near copies.
 
 1. One node for each distinct set (copies are one node), with a key for every block.
 2. In every bucket each node is compared with the first node of the bucket: a star, as many pairs
@@ -21,6 +21,7 @@ least one block. Equal blocks meet in a bucket. A bucket holds little but near c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -60,13 +61,36 @@ def required(total: np.ndarray, threshold: Fraction) -> np.ndarray:
     return -(-up * total // low)
 
 
+def block_number(least: int, differ: int) -> int:
+    """Blocks for a class whose smallest texts have `least` n-grams: so many that those still fill one
+    more than can differ, by three deviations if a number does that, else by two or one."""
+    for deviations in (3, 2, 1):
+        for blocks in range(differ + 1, 2 * differ + 8):
+            empty = blocks * math.exp(-least / blocks)
+            if blocks - empty - deviations * math.sqrt(empty) >= differ + 1:
+                return blocks
+    return differ + 1
+
+
 class _Keys:
-    """Bucket keys of a set."""
+    """Bucket keys of a set. Linked texts differ in at most d blocks of a class. A text that fills
+    d + 1 blocks or more has at least one filled block that any linked text has too, so it needs no
+    keys for its empty blocks. Others are cut into blocks anew, and if no cut fills enough blocks,
+    the empty blocks of the last cut are keys as well."""
 
     def __init__(self, threshold: Fraction):
         self.threshold, self.edges = threshold, class_edges(1)
         self.weights = W.numbers(int(GROUP) + 1, 11)
         self.roles = W.numbers(FAMILIES, 12)
+        self.classes: dict[int, tuple[int, int, int]] = {}
+
+    def class_of(self, c: int) -> tuple[int, int, int]:
+        """(smallest size, n-grams that can differ, blocks) of a class."""
+        if c not in self.classes:
+            low = -(-int(self.edges[c]) * self.threshold.numerator // self.threshold.denominator)
+            differ = differing(int(self.edges[c + 1]) - 1, self.threshold)
+            self.classes[c] = low, differ, block_number(low, differ)
+        return self.classes[c]
 
     def of(self, grams: np.ndarray) -> np.ndarray:
         n = len(grams)
@@ -77,9 +101,8 @@ class _Keys:
         own = int(np.searchsorted(self.edges, n, "right")) - 1
         found = []
         for c in (own, own + 1):
-            low = -(-int(self.edges[c]) * self.threshold.numerator // self.threshold.denominator)
-            blocks = differing(int(self.edges[c + 1]) - 1, self.threshold) + 1
-            if n < low or blocks == 1:  # one block: only equal sets, which are one node
+            low, differ, blocks = self.class_of(c)
+            if n < low or not differ:  # none differs: only equal sets, which are one node
                 continue
             for family in range(FAMILIES):
                 h = W.mix(grams ^ self.roles[family]) if family else grams
@@ -90,14 +113,14 @@ class _Keys:
                 first = np.flatnonzero(np.diff(block, prepend=np.uint64(1 << 40)))
                 counts = np.add.reduceat(weight, first)
                 cell = block[first]
-                empty = len(cell) < blocks
-                if empty and family + 1 == FAMILIES:
+                enough = len(cell) > differ
+                if not enough and family + 1 == FAMILIES:
                     missing = np.setdiff1d(np.arange(blocks, dtype=np.uint64), cell)
                     cell = np.concatenate([cell, missing])
                     counts = np.concatenate([counts, np.zeros(len(missing), np.uint64)])
                 place = np.uint64((c * FAMILIES + family) << 40) + cell
                 found.append(W.mix(counts + W.mix(place)))
-                if not empty:
+                if enough:
                     break
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
@@ -290,12 +313,13 @@ def _bucket_pairs(threshold: Fraction, forest: bool):
 
 PACKED = "shard int, keys binary, nodes binary, counts binary"
 FLUSH = 2_000_000  # keys a task holds before it sends them on
+DEALT = 10_000  # further nodes in a row
 
 
 def _pack_keys(shards: int):
     """Rows (shard, keys, nodes, counts) of (node, keys): for each key its first node in the task
     and the number of its nodes there, so that a frequent key is one entry of a task. Further nodes
-    of a key are rows of shard -1."""
+    of a key are rows without counts, dealt over all shards."""
 
     def packed(keys: list[np.ndarray], nodes: list[int]) -> Iterator[pa.RecordBatch]:
         k = np.concatenate(keys)
@@ -309,8 +333,9 @@ def _pack_keys(shards: int):
         borders = (np.arange(1, shards, dtype=object) * (1 << 64) // shards).astype(np.uint64)
         at = [0, *np.searchsorted(k[first], borders), len(first)]
         rows = [(s, k[first][a:b], n[first][a:b], counts[a:b]) for s, (a, b) in enumerate(zip(at, at[1:])) if a < b]
-        if not new.all():
-            rows.append((-1, k[~new], n[~new], np.zeros(0, np.int32)))
+        k, n = k[~new], n[~new]
+        for a in range(0, len(k), DEALT):
+            rows.append((int(k[a] % np.uint64(shards)), k[a : a + DEALT], n[a : a + DEALT], np.zeros(0, np.int32)))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32())]
             + [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in (1, 2, 3)],
@@ -337,40 +362,39 @@ def _pack_keys(shards: int):
 
 def _shared_keys(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """(key, pivot, node, held) of the keys of a shard that two nodes or more have: the pivot is
-    the first of the nodes, and held their number."""
-    k, n, c = (
-        np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+    the first of the nodes, and held their number. Further nodes come out with neither."""
+    rows = [
+        [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
         for name, kind in (("keys", np.uint64), ("nodes", np.int64), ("counts", np.int32))
-    )
+    ]
+    none = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    k, n, c = (np.concatenate([z, *[x for x, at in zip(r, rows[2]) if len(at)]]) for z, r in zip(none, rows))
+    more_k, more_n = (np.concatenate([z, *[x for x, at in zip(r, rows[2]) if not len(at)]]) for z, r in zip(none, rows[:2]))
     order = np.lexsort((n, k))
     k, n, c = k[order], n[order], c[order].astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(k)))
-    held = np.repeat(np.add.reduceat(c, first), size)
+    held = np.repeat(np.add.reduceat(c, first), size) if len(k) else c
     keep = held > 1
+    absent = pa.nulls(len(more_k), pa.int64())
     return pa.table(
-        {"key": k[keep].view(np.int64), "pivot": np.repeat(n[first], size)[keep], "node": n[keep], "held": held[keep]}
+        {
+            "key": np.concatenate([k[keep], more_k]).view(np.int64),
+            "pivot": pa.concat_arrays([pa.array(np.repeat(n[first], size)[keep]), absent]),
+            "node": np.concatenate([n[keep], more_n]),
+            "held": pa.concat_arrays([pa.array(held[keep]), absent]),
+        }
     )
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """(key, pivot, node, held) of `nodes` (node, keys): the nodes of every key of two or more."""
     shards = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = cut_lineage(nodes.select("node", "keys").mapInArrow(_pack_keys(shards), PACKED))
-    firsts = cut_lineage(
-        packed.where("shard >= 0").groupBy("shard").applyInArrow(
-            _shared_keys, "key long, pivot long, node long, held long"
-        )
+    packed = nodes.select("node", "keys").mapInArrow(_pack_keys(shards), PACKED)
+    found = cut_lineage(
+        packed.groupBy("shard").applyInArrow(_shared_keys, "key long, pivot long, node long, held long")
     )
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["key", "node"]
-                )
-
-    rest = packed.where("shard < 0").select("keys", "nodes").mapInArrow(unpack, "key long, node long")
+    firsts, rest = found.where("pivot IS NOT NULL"), found.where("pivot IS NULL").select("key", "node")
     buckets = firsts.select("key", "pivot", "held").distinct()
     return firsts.unionByName(rest.join(buckets, "key").select("key", "pivot", "node", "held"))
 
