@@ -76,6 +76,21 @@ def _(t: Tables):
     return rounded(rows.drop("annee"), "ref")
 
 
+@query(
+    "dry_reference_period",
+    with_sql(
+        f"""SELECT marais, ix, iy, annee AS annee_ref, 'hydro' AS variante, {s6('ref')} AS ref FROM yearly WHERE annee < 2000
+            UNION ALL SELECT marais, ix, iy, 0, 'fixe', {s6('round_even(median(ref) * 100, 0) / 100')} FROM yearly
+            WHERE annee BETWEEN 1996 AND 1998 GROUP BY 1, 2, 3""",
+        PIXELS, REFS,
+    ),
+)
+def _(t: Tables):
+    today = F.lit("2000-09-15").cast("date")  # the season of that year is not over
+    rows = ra.dry_reference(pixels(t), ["marais"], period=(1996, 1998), today=today)
+    return rounded(rows.withColumn("annee_ref", F.coalesce("annee", F.lit(0))).drop("annee"), "ref")
+
+
 # --- K4 to K8 -----------------------------------------------------------------------------------
 
 def smooth_sql(source: str, keys: str, value: str, name: str) -> str:

@@ -13,10 +13,18 @@ CELL = ["ix", "iy"]
 OUTSIDE, NO_CLASS = 255, 0  # fixed values: code outside the territory, code without a class
 
 
-def map_codes(pixels: DataFrame, nomenclature: DataFrame) -> tuple[DataFrame, DataFrame]:
+def map_codes(
+    pixels: DataFrame, nomenclature: DataFrame, refuse: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(pixels with the class of their code, codes missing from the nomenclature). `nomenclature`
-    has code and classe, null for codes kept in reserve or excluded."""
-    classed = pixels.join(nomenclature, "code")
+    has code and classe, null for codes kept in reserve or excluded. With `refuse`, a pixel whose
+    code is missing fails the job that reads the first result."""
+    known = nomenclature.withColumn("_known", F.lit(True))
+    classed = pixels.join(known, "code", "left" if refuse else "inner")
+    if refuse:
+        told = F.concat(F.lit("unknown land-cover code "), F.coalesce(F.col("code").cast("string"), F.lit("null")))
+        classed = classed.where(F.when(F.col("_known"), True).otherwise(F.raise_error(told).cast("boolean")))
+    classed = classed.drop("_known")
     unknown = pixels.join(nomenclature, "code", "left_anti").groupBy("code").agg(
         F.count("*").alias("n")
     )

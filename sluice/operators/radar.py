@@ -41,16 +41,26 @@ def _centi(value: Column) -> Column:
     return F.rint(value * 100) / 100
 
 
-def dry_reference(df: DataFrame, site: Sequence[str], months: Sequence[int] = DRY_MONTHS) -> DataFrame:
+def dry_reference(
+    df: DataFrame,
+    site: Sequence[str],
+    months: Sequence[int] = DRY_MONTHS,
+    period: tuple[int, int] | None = None,
+    today: Column | None = None,
+) -> DataFrame:
     """Per pixel and year: median of the passes of the dry months, to 0.01 dB (`annee`), and the
-    fixed reference, median of the yearly ones (`annee` null). Groups hold one season of passes."""
+    fixed reference, median of the yearly ones of `period` (all without one; `annee` null). With
+    `today`, a season that is not over is left out. Groups hold one season of passes."""
     keys = [*site, "ix", "iy"]
+    if today is not None:
+        df = df.where(cal.season_complete(F.year("date"), today, max(months)))
     yearly = (
         df.where(F.month("date").isin(list(months)) & F.col("db").isNotNull())
         .groupBy(*keys, F.year("date").alias("annee"))
         .agg(_centi(F.median("db")).alias("ref"))
     )
-    fixed = yearly.groupBy(*keys).agg(_centi(F.median("ref")).alias("ref"))
+    chosen = yearly if period is None else yearly.where(F.col("annee").between(*period))
+    fixed = chosen.groupBy(*keys).agg(_centi(F.median("ref")).alias("ref"))
     return yearly.withColumn("variante", F.lit("hydro")).unionByName(
         fixed.withColumn("annee", F.lit(None).cast("int")).withColumn("variante", F.lit("fixe"))
     )
@@ -181,13 +191,15 @@ def passages(
     variants: Sequence[str] = ("hydro", "fixe"),
     drop: float = DROP_DB,
     limit: float = LIMIT_DB,
+    period: tuple[int, int] | None = None,
+    today: Column | None = None,
 ) -> DataFrame:
     """All passes with each reference variant: areas, or nulls where the reference is missing.
 
     `pixels` has marais, ix, iy, date, db on the full grid of each pass; `domain` marais, ix, iy,
     domaine, regime. Passes and references are smoothed once and written aside for the joins."""
     pixels = cut_lineage(pixels)
-    refs = dry_reference(pixels, ["marais"])
+    refs = dry_reference(pixels, ["marais"], period=period, today=today)
     refs = refs.where(F.col("variante").isin(list(variants))).withColumn(
         "annee_ref", F.coalesce("annee", F.lit(0))
     )

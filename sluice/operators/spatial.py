@@ -186,12 +186,39 @@ def zone_overlaps(claims: DataFrame, cell_area: float) -> DataFrame:
     )
 
 
+def _nearest_zone_by_rings(lonely: DataFrame, large: DataFrame, reach: int) -> DataFrame:
+    """(component, _zone): the zone of the large cell nearest to any cell of a component. Rings of
+    doubling radius are searched, each time only for the components that are still without a zone."""
+    found = lonely.sparkSession.createDataFrame([], f"component {lonely.schema['component'].dataType.simpleString()}, _zone string")
+    if large.isEmpty():
+        return found
+    inner, outer = 0, reach
+    left = cut_lineage(lonely)
+    while not left.isEmpty():
+        steps = F.sequence(F.lit(-outer), F.lit(outer))
+        ring = (
+            left.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
+            .withColumn("_d", F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"))
+            .where((F.col("_d") > inner * inner) & (F.col("_d") <= outer * outer))
+            .select("component", (F.col("ix") + F.col("_dx")).alias("ix"), (F.col("iy") + F.col("_dy")).alias("iy"), "_d")
+        )
+        hits = cut_lineage(
+            ring.join(large, ["ix", "iy"]).groupBy("component").agg(F.min(F.struct("_d", "_zone")).alias("_b"))
+            .select("component", F.col("_b._zone").alias("_zone"))
+        )
+        found = found.unionByName(hits)
+        left = cut_lineage(left.join(hits, "component", "left_anti"))
+        inner, outer = outer, 2 * outer
+    return found
+
+
 def partition_zones(
     claims: DataFrame, territory: DataFrame, fragment_cells: int, reach: int = 8
 ) -> DataFrame:
     """A partition of the territory: each cell to the first zone that claims it; fragments smaller
     than `fragment_cells` and gaps of any size join the large piece they share the longest border
-    with, else the nearest one within `reach` cells, else stay null (to be reported). Returns ix,
+    with, else the nearest one. Zones are null only where there is no large piece at all. `reach`
+    is the first distance in cells that is searched; it doubles until all are attached. Returns ix,
     iy, zone_id, `rattache`."""
     owned = claims.groupBy("ix", "iy").agg(F.min_by("zone_id", "rang").alias("zone_id"))
     cells = territory.select("ix", "iy").distinct().join(owned, ["ix", "iy"], "left")
@@ -220,29 +247,8 @@ def partition_zones(
         .agg(F.min(F.struct((-F.col("_len")).alias("n"), "_zone")).alias("_b"))
         .select("component", F.col("_b._zone").alias("_zone"))
     )
-    offsets = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy"))
-                for x in range(-reach, reach + 1)
-                for y in range(-reach, reach + 1)
-                if x * x + y * y <= reach * reach
-            ]
-        )
-    )
-    lonely = small.join(border, "component", "left_anti")
-    near = (
-        lonely.select("component", "ix", "iy", offsets.alias("_s"))
-        .select(
-            "component", (F.col("ix") + F.col("_s.dx")).alias("ix"),
-            (F.col("iy") + F.col("_s.dy")).alias("iy"),
-            (F.col("_s.dx") * F.col("_s.dx") + F.col("_s.dy") * F.col("_s.dy")).alias("_d"),
-        )
-        .join(large, ["ix", "iy"])
-        .groupBy("component")
-        .agg(F.min(F.struct("_d", "_zone")).alias("_b"))
-        .select("component", F.col("_b._zone").alias("_zone"))
-    )
+    lonely = small.join(border, "component", "left_anti").select("component", "ix", "iy")
+    near = _nearest_zone_by_rings(lonely, large, reach)
     given = border.unionByName(near)
     attached = small.join(given, "component", "left").select(
         "ix", "iy", F.col("_zone").alias("zone_id"), F.lit(True).alias("rattache")

@@ -165,13 +165,22 @@ def fallback_per_key(primary: DataFrame, fallback: DataFrame, keys: list[str]) -
 
 
 def explode_orders(
-    raw: DataFrame, lists: Mapping[str, str], keep: list[str], name: str
+    raw: DataFrame,
+    lists: Mapping[str, str],
+    keep: list[str],
+    name: str,
+    refuse: bool = False,
+    departments: tuple[str, list[str]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Orders whose cells hold parallel JSON lists, one row per position of the lists.
 
     `lists` maps a result column to its cell; `name` is the result column whose length rules.
     Unreadable, empty or `null` cells are empty lists. An order without a list keeps one row of
-    nulls. Returns (rows, orders whose lists differ in length); the second must be empty."""
+    nulls; texts that are empty, `null` or `undefined` are nulls. `departments` is a column and the
+    values whose orders are read. Returns (rows, orders whose lists differ in length); with `refuse`
+    such an order fails the job that reads the rows, else the second result must be empty."""
+    if departments is not None:
+        raw = raw.where(F.col(departments[0]).isin(departments[1]))
     arrays = raw.select(
         *keep,
         *[
@@ -186,10 +195,15 @@ def explode_orders(
     for column in lists:
         same = same & (F.size(column) == F.size(name))
     bad = arrays.where(~same).select(*keep, *[F.size(c).alias(f"n_{c}") for c in lists])
+    fits = same
+    if refuse:
+        told = F.concat_ws(" ", F.lit("lists of different length in order"), *[F.col(c).cast("string") for c in keep])
+        fits = F.when(same, True).otherwise(F.raise_error(told).cast("boolean"))
     rows = (
-        arrays.where(same)
+        arrays.where(fits)
         .select(*keep, F.explode_outer(F.arrays_zip(*lists)).alias("_z"))
         .select(*keep, *[F.col("_z")[c].alias(c) for c in lists])
         .withColumn(name, F.trim(name))
+        .withColumns({c: tx.empty_to_null(F.col(c)) for c in lists})
     )
     return rows, bad

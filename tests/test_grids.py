@@ -114,6 +114,48 @@ def test_partition_covers_the_territory(spark):
     assert owner[(4, 4)] == "A" and owner[(15, 5)] == "B"
 
 
+def test_gap_far_from_any_zone_takes_the_nearest(spark):
+    cells = pd.DataFrame([(x, 0) for x in range(60)], columns=["ix", "iy"])
+    claimed = cells[(cells["ix"] < 10) | (cells["ix"] >= 50)]
+    claimed = claimed.assign(zone_id=np.where(claimed["ix"] < 10, "A", "B"), rang=0)
+    island = pd.DataFrame({"ix": [200], "iy": [3]})  # touches nothing
+    territory = spark.createDataFrame(pd.concat([cells, island]))
+    got = spatial.partition_zones(spark.createDataFrame(claimed), territory, 5).toPandas()
+    owner = {(r.ix, r.iy): r.zone_id for r in got.itertuples()}
+    assert got["zone_id"].notna().all() and owner[(200, 3)] == "B"
+    none = spatial.partition_zones(spark.createDataFrame(claimed).limit(0), territory, 5)
+    assert none.where("zone_id IS NOT NULL").count() == 0 and none.count() == 61
+
+
+def test_dry_reference_of_a_period_and_of_seasons_that_are_over(spark):
+    rows = [("M", 0, 0, f"{y}-08-01", float(-y % 100)) for y in range(2015, 2021)]
+    px = spark.createDataFrame(rows, "marais string, ix int, iy int, date string, db double").withColumn("date", F.to_date("date"))
+    today = F.lit("2020-09-30").cast("date")
+    got = {r.annee: r.ref for r in radar.dry_reference(px, ["marais"], period=(2015, 2017), today=today).collect()}
+    assert sorted(y for y in got if y) == [2015, 2016, 2017, 2018, 2019] and got[None] == -2016 % 100
+
+
+def test_refusals(spark):
+    from sluice.operators import landcover
+    from sluice.sources import scans
+
+    px = spark.createDataFrame([(0, 0, 1), (1, 0, 2)], "ix int, iy int, code int")
+    names = spark.createDataFrame([(1, 5)], "code int, classe int")
+    assert landcover.map_codes(px, names)[0].count() == 1
+    with pytest.raises(Exception, match="unknown land-cover code 2"):
+        landcover.map_codes(px, names, refuse=True)[0].collect()
+    raw = spark.createDataFrame(
+        [(1, "17", '[" a ","null"]', '["x","undefined"]'), (2, "79", '["a"]', '["x","y"]')], "id int, dep string, noms string, types string"
+    )
+    lists = {"nom": "noms", "type": "types"}
+    rows, bad = scans.explode_orders(raw, lists, ["id"], "nom")
+    assert {(r.nom, r.type) for r in rows.collect()} == {("a", "x"), (None, None)} and bad.count() == 1
+    with pytest.raises(Exception, match="lists of different length in order 2"):
+        scans.explode_orders(raw, lists, ["id"], "nom", refuse=True)[0].collect()
+    one, _ = scans.explode_orders(raw, lists, ["id"], "nom", refuse=True, departments=("dep", ["17"]))
+    assert one.count() == 2
+
+
 def test_same_reflectance_with_and_without_offset(spark):
     rows = [(2000, 4000, 3000, 4, 0.0), (3000, 5000, 4000, 4, -1000.0), (2000, 0, 3000, 4, 0.0), (2000, 4000, 3000, 9, 0.0)]
     df = spark.createDataFrame(rows, "b04 int, b08 int, b11 int, scl int, offset double")
