@@ -12,7 +12,8 @@ one block. Equal blocks meet in a bucket. A bucket holds little but near copies.
 
 1. One node for each distinct set (copies are one node), with a key for every block.
 2. In every bucket each node is compared with the first node of the bucket: a star, as many pairs
-   as rows. Most links of a group of near copies need no more.
+   as rows. Pairs that the bound lets through are verified. Most links of a group of near copies
+   need no more.
 3. Buckets of three nodes or more that still hold several components: R-trees over their points,
    large buckets cut into chunks. Of the pairs that the bound lets through a forest is verified
    first, then every one that is still between different components. No pair in a bucket is left
@@ -129,15 +130,13 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: Fraction) -> DataFrame:
-    """(id, n_shingles, sig_a, sig_b, keys): size, 128-bit signature and bucket keys of each set."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(id, text_hash, n_shingles, sig_a, sig_b): size and 128-bit signature of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _Keys(threshold)
         salt = W.numbers(2, 13)
         for batch in batches:
-            ids = batch.column(0)
-            for first, texts in W.chunks(batch.column(1).to_pylist()):
+            for first, texts in W.chunks(batch.column(2).to_pylist()):
                 grams = W.sets(*W.ngram_hashes(*W.word_hashes(texts), n))
                 with np.errstate(over="ignore"):
                     a, b = (
@@ -146,48 +145,76 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: F
                     )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(texts)),
+                        batch.column(0).slice(first, len(texts)),
+                        batch.column(1).slice(first, len(texts)),
                         pa.array([len(g) for g in grams], pa.int64()),
                         pa.array(_signed(a)),
                         pa.array(_signed(b)),
-                        pa.array([_signed(keys.of(g)) for g in grams], pa.list_(pa.int64())),
                     ],
-                    names=["id", "n_shingles", "sig_a", "sig_b", "keys"],
+                    names=["id", "text_hash", "n_shingles", "sig_a", "sig_b"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, n_shingles long, sig_a long, sig_b long, keys array<long>"
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
+        run, f"id {kind}, text_hash long, n_shingles long, sig_a long, sig_b long"
     )
 
 
-def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, size, point, grams) of `docs` (node, sig_a, text): sets of n-gram hashes and their
-    points, for the texts that have the signature of the node."""
+def bucket_keys(texts: DataFrame, n: int, threshold: Fraction) -> DataFrame:
+    """(node, keys) of `texts` (node, text): the bucket keys of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = W.numbers(2, 13)
+        keys = _Keys(threshold)
         for batch in batches:
-            nodes, sigs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for first, texts in W.chunks(batch.column(2).to_pylist()):
+            for first, texts in W.chunks(batch.column(1).to_pylist()):
                 grams = W.sets(*W.ngram_hashes(*W.word_hashes(texts), n))
-                same = [
-                    int(W.mix(g ^ salt[0]).sum(dtype=np.uint64).view(np.int64)) == sigs[first + i]
-                    for i, g in enumerate(grams)
-                ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([nodes[first + i] for i, s in enumerate(same) if s], pa.int64()),
-                        pa.array([len(g) for g, s in zip(grams, same) if s], pa.int64()),
-                        pa.array([point(g) for g, s in zip(grams, same) if s], pa.binary()),
-                        pa.array([_signed(g) for g, s in zip(grams, same) if s], pa.list_(pa.int64())),
+                        batch.column(0).slice(first, len(texts)),
+                        pa.array([_signed(keys.of(g)) for g in grams], pa.list_(pa.int64())),
                     ],
-                    names=["node", "size", "point", "grams"],
+                    names=["node", "keys"],
                 )
 
-    return docs.select("node", "sig_a", "text").mapInArrow(
-        run, "node long, size long, point binary, grams array<long>"
-    )
+    return texts.select("node", "text").mapInArrow(run, "node long, keys array<long>")
+
+
+def set_points(texts: DataFrame, n: int) -> DataFrame:
+    """(node, size, point) of `texts` (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in W.chunks(batch.column(1).to_pylist()):
+                grams = W.sets(*W.ngram_hashes(*W.word_hashes(texts), n))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, len(texts)),
+                        pa.array([len(g) for g in grams], pa.int64()),
+                        pa.array([point(g) for g in grams], pa.binary()),
+                    ],
+                    names=["node", "size", "point"],
+                )
+
+    return texts.select("node", "text").mapInArrow(run, "node long, size long, point binary")
+
+
+def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
+    """(node, grams) of `texts` (node, text): sets of n-gram hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in W.chunks(batch.column(1).to_pylist()):
+                grams = W.sets(*W.ngram_hashes(*W.word_hashes(texts), n))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, len(texts)),
+                        pa.array([_signed(g) for g in grams], pa.list_(pa.int64())),
+                    ],
+                    names=["node", "grams"],
+                )
+
+    return texts.select("node", "text").mapInArrow(run, "node long, grams array<long>")
 
 
 # --- the tree over the points of a bucket -----------------------------------------------------
@@ -331,8 +358,13 @@ def _pack_keys(shards: int):
         counts = np.diff(np.append(first, len(k))).astype(np.int32)
         # keys are sorted, so the keys of a shard are a run
         borders = (np.arange(1, shards, dtype=object) * (1 << 64) // shards).astype(np.uint64)
-        at = [0, *np.searchsorted(k[first], borders), len(first)]
-        rows = [(s, k[first][a:b], n[first][a:b], counts[a:b]) for s, (a, b) in enumerate(zip(at, at[1:])) if a < b]
+        at = [0, *map(int, np.searchsorted(k[first], borders)), len(first)]
+        k1, n1 = k[first], n[first]
+        rows = []
+        for shard, (a, b) in enumerate(zip(at, at[1:])):
+            if a < b:  # by node: runs of equal nodes take little room in the shuffle
+                by_node = a + np.argsort(n1[a:b], kind="stable")
+                rows.append((shard, k1[by_node], n1[by_node], counts[by_node]))
         k, n = k[~new], n[~new]
         for a in range(0, len(k), DEALT):
             rows.append((int(k[a] % np.uint64(shards)), k[a : a + DEALT], n[a : a + DEALT], np.zeros(0, np.int32)))
@@ -402,14 +434,39 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
 # --- the join ---------------------------------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, held: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets reach the threshold."""
+def _within_bound(pairs: DataFrame, points: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes whose points can reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2_000):
+                part = batch.slice(low, 2_000)
+                shared = np.minimum(_points(part.column(3).to_pylist()), _points(part.column(4).to_pylist())).sum(axis=1)
+                keep = pa.array(shared >= required(part.column(2).to_numpy(), threshold))
+                yield part.select(["a", "b"]).filter(keep)
+
+    left, right = (
+        points.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("point").alias(f"point_{x}"))
+        for x in ("a", "b")
+    )
+    close = F.least("size_a", "size_b") * threshold.denominator >= F.greatest("size_a", "size_b") * threshold.numerator
+    both = pairs.distinct().join(left, "a").join(right, "b").where(close)
+    total = (F.col("size_a") + F.col("size_b")).alias("total")
+    return both.select("a", "b", total, "point_a", "point_b").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes whose sets reach the threshold. Sets are made of the texts of these
+    pairs only."""
+    pairs = cut_lineage(pairs.distinct())
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    held = cut_lineage(shingle_sets(texts.join(needed, "node"), n))
     left = held.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = held.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
     shared = F.size(F.array_intersect("ga", "gb")).cast("long")
     union = F.size("ga") + F.size("gb") - F.col("shared")
     return (
-        pairs.distinct().join(left, "a").join(right, "b")
+        pairs.join(left, "a").join(right, "b")
         .select("a", "b", "ga", "gb", shared.alias("shared"))
         .where(F.col("shared") * threshold.denominator >= union * threshold.numerator)
         .select("a", "b")
@@ -417,7 +474,8 @@ def _verified(pairs: DataFrame, held: DataFrame, threshold: Fraction) -> DataFra
 
 
 def _more_links(
-    members: DataFrame, labels: DataFrame, held: DataFrame, threshold: Fraction, forest: bool
+    members: DataFrame, labels: DataFrame, points: DataFrame, texts: DataFrame, n: int, threshold: Fraction,
+    forest: bool,
 ) -> DataFrame:
     """Labels (node, label) after the links inside the buckets of `members` that hold several labels."""
     mixed = members.join(labels, "node")
@@ -431,10 +489,10 @@ def _more_links(
     dealt = mixed.select(
         "key", "pivot", "node", "label", F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-    ).join(held.select("node", "size", "point"), "node")
+    ).join(points, "node")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = dealt.mapInArrow(_bucket_pairs(threshold, forest), "a long, b long")
-    fresh = cut_lineage(_verified(more, held, threshold))
+    fresh = cut_lineage(_verified(more, texts, n, threshold))
     at_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     at_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     merged = connected_components(
@@ -457,30 +515,31 @@ def ngram_jaccard_components(
     smallest id that is not null of their component, or null. Columns besides the two are not read.
     """
     limit = Fraction(threshold)
-    signed = signatures(docs, id_col, text_col, n, limit)
-    rows = cut_lineage(signed.withColumn("row", F.monotonically_increasing_id()))
-    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
+    rows = cut_lineage(signatures(docs, id_col, text_col, n).withColumn("row", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "row")).alias("first")
     nodes = (
         rows.where("n_shingles > 0").groupBy("sig_a", "sig_b").agg(first)
-        .select("sig_a", "sig_b", F.col("first.row").alias("node"), F.col("first.id").alias("least"))
+        .select("sig_a", "sig_b", F.col("first.row").alias("node"), F.col("first.id").alias("least"), "first.text_hash")
     )
     nodes = cut_lineage(nodes)
-    keyed = rows.where(F.size("keys") > 0).select(F.col("row").alias("node"), "keys")
-    members = cut_lineage(bucket_members(keyed.join(nodes.select("node"), "node")))
-    known = members.select("node").distinct().join(nodes, "node")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    held = known.join(texts, F.col("least").eqNullSafe(F.col("_id"))).select("node", "sig_a", "text")
-    held = cut_lineage(shingle_sets(held, n).dropDuplicates(["node"]))
+    # a struct is a key that takes null ids as equal
+    by_row = docs.select(
+        F.struct(F.col(id_col).alias("id")).alias("_key"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")
+    ).dropDuplicates(["_key", "text_hash"])
+    wanted = nodes.select("node", F.struct(F.col("least").alias("id")).alias("_key"), "text_hash")
+    texts = cut_lineage(by_row.join(wanted, ["_key", "text_hash"]).select("node", "text"))
+    members = cut_lineage(bucket_members(bucket_keys(texts, n, limit)))
+    points = cut_lineage(set_points(texts, n))
 
     star = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = cut_lineage(_verified(star, held, limit))
-    labels = connected_components(held.select(F.col("node").alias("id")), links)
+    links = cut_lineage(_verified(_within_bound(star, points, limit), texts, n, limit))
+    labels = connected_components(members.select(F.col("node").alias("id")).distinct(), links)
     labels = cut_lineage(labels.select(F.col("id").alias("node"), F.col("component").alias("label")))
 
     # A forest of each bucket first: most groups are one component after it, and pairs inside a
     # component need no look. Then every pair that is left.
     for forest in (True, False):
-        labels = _more_links(members.where("held > 2"), labels, held, limit, forest)
+        labels = _more_links(members.where("held > 2"), labels, points, texts, n, limit, forest)
     labels = labels.withColumnRenamed("label", "component")
 
     grouped = nodes.join(labels, "node", "left").select(
