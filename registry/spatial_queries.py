@@ -149,3 +149,10 @@ def _(t: Tables):
 def _(t: Tables):
     parts = sp.partition_zones(claims(t), codes(t), 20)
     return parts.groupBy("zone_id").agg(F.count("*").alias("n"), F.count_if("rattache").alias("n_rattache"))
+
+
+@query("partition_coverage", with_sql("SELECT avg((ix IS NOT NULL)::INT)::DOUBLE AS couverture FROM codes", CODES))
+def _(t: Tables):
+    """Every cell of the territory has a zone."""
+    parts = sp.partition_zones(claims(t), codes(t), 20)
+    return sp.partition_coverage(parts).select("couverture")

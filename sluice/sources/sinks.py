@@ -65,7 +65,10 @@ def merge_into(
 ) -> None:
     """Merge a batch into a table partitioned by year. Only the years of the batch are read and
     replaced. The merged rows are first written aside, because the source of a plan cannot be
-    overwritten while it is read; a failed run leaves the stored years as they were."""
+    overwritten while it is read. A run that fails before the last write leaves the stored years as
+    they were; one that fails while Spark swaps the folders may leave a year out. The batch merged
+    again restores only its own rows then, so the years concerned are to be taken from the step
+    written aside."""
     from sluice.session import cut_lineage
 
     years = touched_years(batch, date)
