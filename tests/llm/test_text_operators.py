@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -352,6 +353,26 @@ def test_jaccard_components(docs, rows, empty):
     assert jaccard_join.ngram_jaccard_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("threshold", ["0.8", "0.9"])
+def test_linked_sets_share_a_key(threshold):
+    t = Fraction(threshold)
+    keys, rng, linked = jaccard_join._Keys(t), np.random.default_rng(7), 0
+
+    def draw(n):
+        return rng.integers(0, (1 << 64) - 1, n, dtype=np.uint64)
+
+    for _ in range(1_500):
+        n = int(rng.integers(3, 400))
+        a, away = draw(n), int(rng.integers(0, jaccard_join.differing(n, t) + 1))
+        new = int(rng.integers(0, jaccard_join.differing(n, t) - away + 1))
+        b = np.concatenate([a[: n - away], draw(new)])
+        shared, union = n - away, n + new
+        if shared < union and shared * t.denominator >= t.numerator * union:
+            linked += 1
+            assert len(np.intersect1d(keys.of(np.unique(a)), keys.of(np.unique(b))))
+    assert linked > 500
+
+
 def test_points_bound_the_overlap():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(80)]
