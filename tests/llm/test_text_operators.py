@@ -377,8 +377,6 @@ def test_points_bound_the_overlap():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(80)]
     sets += [np.unique(np.concatenate([s[:280], rng.integers(0, 1 << 62, 5).astype(np.uint64)])) for s in sets]
-    from fractions import Fraction
-
     points = jaccard_join._points([jaccard_join.point(s) for s in sets])
     sizes = np.array([len(s) for s in sets])
     t = Fraction("0.9")
