@@ -1,10 +1,12 @@
 """Main text of web pages: the article, without what recurs on a site.
 
 Every element gets a hash of its subtree (tags, classes and text). Spark counts on how many
-different pages of a host each subtree occurs; subtrees that recur on a large share of them are the
-template of the host and are cut out. What a page alone tells is used as well: the article
-element, and elements that are menus, footers, forms, adverts, comments and the like by tag, role
-or class. Pages of equal articles count once, so copies of an article are not taken for a template.
+different pages of a host each subtree occurs, wherever it stands in the page; subtrees that recur on
+a large share of them are the template of the host and are cut out. What a page alone tells is used
+after that: the article element, and elements that are menus, footers, forms, adverts, comments and
+the like by tag, role or class. A page counts as one over the number of pages that have most of the
+rest of its article (the median over the article's lines outside the subtree, by length), so copies
+of an article, edited or not, count as about one page and are not taken for a template.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from sluice.session import cut_lineage
 
 MIN_PAGES = 5  # different pages of a host that a template part is on at least
 MIN_SHARE = 0.3  # of the different pages of the host
+UNIT = 10**9  # one page; counts are sums of whole numbers, so that they don't depend on row order
 
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -176,24 +179,31 @@ def parse(page: str) -> tuple[list[Element], list]:
     return elements, items
 
 
-def main_element(elements: list[Element]) -> int:
-    """The article of most text that is no comment and not inside a dropped element; else main, body
-    or the page. Classes of what surrounds an article do not count, but for comments."""
+def main_element(elements: list[Element], template: set[int] | frozenset = frozenset()) -> int:
+    """The article of most text that is no comment and not inside a dropped element or a subtree of
+    `template`; else main, body or the page. Classes of what surrounds an article do not count, but
+    for comments, nor does the text of template subtrees."""
     best = {"article": (0, -1), "main": (0, -1), "body": (-1, -1)}
+    cut = [0] * len(elements)
+    if template:
+        for i in range(len(elements) - 1, 0, -1):
+            e = elements[i]
+            cut[e.parent] += e.size if e.hash in template else cut[i]
     barred = [False] * len(elements)
     for i, e in enumerate(elements):
         up = barred[e.parent] if e.parent >= 0 else False
-        barred[i] = up or e.drop in ("tag", "comment")
-        if e.tag in best and not barred[i] and e.drop != "part" and e.size > best[e.tag][0]:
-            best[e.tag] = (e.size, i)
+        barred[i] = up or e.drop in ("tag", "comment") or i > 0 and e.hash in template
+        if e.tag in best and not barred[i] and e.drop != "part" and e.size - cut[i] > best[e.tag][0]:
+            best[e.tag] = (e.size - cut[i], i)
     return next((i for _, i in best.values() if i >= 0), 0)
 
 
-def blocks(page: str, template: set[int] | frozenset = frozenset()) -> list[str]:
-    """Texts of the blocks of the main element, in page order, without subtrees of `template`."""
-    elements, items = parse(page)
-    root = main_element(elements)
-    out, held = [], []
+def _lines(
+    elements: list[Element], items: list, root: int, template: set[int] | frozenset = frozenset()
+) -> tuple[list[str], dict[int, tuple[int, int]]]:
+    """Texts of the blocks of element `root`, in page order, without subtrees of `template`; and for
+    each block element inside that is left in, the lines (from, to) that are its own."""
+    out, held, places = [], [], {}
 
     def flush() -> None:
         line = " ".join("".join(held).split())
@@ -208,26 +218,75 @@ def blocks(page: str, template: set[int] | frozenset = frozenset()) -> list[str]
         if isinstance(item, str):
             held.append(item)
             continue
-        e = elements[item if item >= 0 else -item - 1]
-        if item >= 0 and item != root and (e.drop or e.hash in template):
+        i = item if item >= 0 else -item - 1
+        e = elements[i]
+        left_out = item >= 0 and item != root and (e.drop or e.hash in template)
+        if left_out:
             at = e.end + 1
         if e.tag in BLOCKS:
             flush()
+            if not left_out:
+                places[i] = (len(out), len(out)) if item >= 0 else (places[i][0], len(out))
         elif e.tag == "br":
             held.append(" ")
     flush()
-    return out
+    return out, places
 
 
-def subtrees(page: str) -> tuple[int, set[int]]:
-    """Hash of the main element, and the hashes of the block elements with text inside it."""
-    elements, _ = parse(page)
-    root = elements[main_element(elements)]
-    return root.hash, {
-        e.hash
-        for e in elements
-        if e.tag in BLOCKS and e.size and not e.drop and root.begin < e.begin and e.end < root.end
-    }
+def blocks(page: str, template: set[int] | frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks of the main element, in page order, without subtrees of `template`."""
+    elements, items = parse(page)
+    return _lines(elements, items, main_element(elements, template), template)[0]
+
+
+def skeleton(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
+    """(hash, length) of the lines of the main element, and (hash, from, to) of every block element
+    of the page with text, but for those around the main element; `from` to `to` are its lines."""
+    elements, items = parse(page)
+    root = main_element(elements)
+    lines, places = _lines(elements, items, root)
+    main = elements[root]
+    parts = [
+        (e.hash, *places.get(i, (0, 0)))
+        for i, e in enumerate(elements)
+        if e.tag in BLOCKS and e.size and not (e.begin <= main.begin and e.end >= main.end)
+    ]
+    digests = (hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8).digest() for t in lines)
+    return [(int.from_bytes(d, "little", signed=True), len(t)) for d, t in zip(digests, lines)], parts
+
+
+def page_weights(
+    lines: list[tuple[int, int]], parts: list[tuple[int, int, int]], shared: dict[int, int]
+) -> dict[int | None, int]:
+    """For each subtree of a page (None: the page itself), UNIT over the number of pages that have
+    most of the article outside it; 0 if nothing is outside. `shared`: pages of the lines that are on
+    several."""
+
+    def weight(sizes: dict[int, int]) -> int:
+        half, past = sum(sizes.values()) / 2, 0
+        for pages in sorted(sizes):
+            past += sizes[pages]
+            if sizes[pages] and past >= half:
+                return round(UNIT / pages)
+        return 0
+
+    every: dict[int, int] = {}
+    for h, n in lines:
+        every[shared.get(h, 1)] = every.get(shared.get(h, 1), 0) + n
+    whole = weight(every)
+    places: dict[int, set[int]] = {}
+    for h, first, last in parts:
+        places.setdefault(h, set()).update(range(first, last))
+    out: dict[int | None, int] = {None: whole}
+    for h, inside in places.items():
+        if not inside:
+            out[h] = whole
+            continue
+        rest = dict(every)
+        for i in inside:
+            rest[shared.get(lines[i][0], 1)] -= lines[i][1]
+        out[h] = weight(rest)
+    return out
 
 
 def host_templates(
@@ -237,22 +296,44 @@ def host_templates(
     """(host, template): hashes of the subtrees that are on `min_pages` different pages of the host
     and on `min_share` of them, so a list is no longer than a few pages have elements."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, roots, parts = [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                root, inner = subtrees(page or "")
-                for h in (None, *inner):  # null: the page itself
-                    hosts.append(host), roots.append(root), parts.append(h)
+            found = [skeleton(page or "") for page in batch.column(1).to_pylist()]
+            kinds = [pa.list_(pa.int64())] * 5
+            columns = [[[r[k] for r in one[side]] for one in found] for side, k in ((0, 0), (0, 1), (1, 0), (1, 1), (1, 2))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(roots, pa.int64()), pa.array(parts, pa.int64())],
-                names=["host", "root", "part"],
+                [batch.column(0), *map(pa.array, columns, kinds)],
+                names=["host", "lines", "sizes", "parts", "first", "last"],
             )
 
-    seen = pages.select(url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(
-        run, "host string, root long, part long"
-    )
-    counted = seen.distinct().groupBy("host", "part").agg(F.count("*").alias("n"))
+    numbers = ", ".join(f"{c} array<long>" for c in ("lines", "sizes", "parts", "first", "last"))
+    seen = pages.select(url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    seen = seen.mapInArrow(cut, f"host string, {numbers}")
+    seen = cut_lineage(seen.withColumn("page", F.monotonically_increasing_id()))
+    each = seen.select("host", "page", F.explode(F.array_distinct("lines")).alias("line"))
+    several = each.groupBy("host", "line").agg(F.count("*").alias("n")).where("n > 1")
+    shared = each.join(several, ["host", "line"]).groupBy("page").agg(
+        F.collect_list("line").alias("line"), F.collect_list("n").alias("n")
+    )
+    known = seen.join(shared, "page", "left").select(*seen.columns[:-1], "line", "n")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, parts, weights = [], [], []
+            for host, lines, sizes, inner, first, last, line, n in zip(*(c.to_pylist() for c in batch.columns)):
+                found = page_weights(list(zip(lines, sizes)), list(zip(inner, first, last)), dict(zip(line or (), n or ())))
+                hosts += [host] * len(found)
+                parts += found.keys()
+                weights += found.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(parts, pa.int64()), pa.array(weights, pa.int64())],
+                names=["host", "part", "weight"],
+            )
+
+    weighed = known.mapInArrow(count, "host string, part long, weight long")
+    # a sum of one over the copies, for every copy: a whole number but for the last digits
+    pages_of = F.round(F.sum("weight") / UNIT, 3)
+    counted = weighed.groupBy("host", "part").agg(pages_of.alias("n"))
     counted = cut_lineage(counted.where(F.col("part").isNull() | (F.col("n") >= min_pages)))
     total = counted.where(F.col("part").isNull()).select("host", F.col("n").alias("total"))
     often = counted.where(F.col("part").isNotNull()).join(total, "host")
