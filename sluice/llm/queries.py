@@ -14,10 +14,13 @@ URL_RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
     ("block", "net/es/"), ("block", "net/fr/"),
 )
+# A list of hosts as given by a caller; the query derives its own from BLOCKED_SITES.
 BLOCKED_HOSTS = (
     "cheap-pills.example.com", "free-bets.example.com", "adult-x.example.net",
     "spam-farm.example.org", "ads-track.example.org", "casino-win.example.org",
 )
+# Names of junk sites: their labels under any domain ending are the listed hosts.
+BLOCKED_SITES = ("cheap-pills", "free-bets", "adult-x", "spam-farm", "ads-track", "casino-win")
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -68,9 +71,10 @@ def op6_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    from sluice.llm.url_cascade import judge_urls
+    from sluice.llm.url_cascade import judge_urls, site_hosts
 
-    return judge_urls(table(spark, folder, "pages"), URL_RULES, BLOCKED_HOSTS)
+    pages = table(spark, folder, "pages")
+    return judge_urls(pages, URL_RULES, site_hosts(pages, BLOCKED_SITES))
 
 
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

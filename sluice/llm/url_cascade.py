@@ -188,6 +188,14 @@ def first_listed(spark: SparkSession, cascades: Sequence[Cascade], keys: str) ->
     return [of(c) for c in held]
 
 
+def site_hosts(pages: DataFrame, sites: Sequence[str], url_col: str = "url") -> DataFrame:
+    """(key): the domains of the table, hosts or their parents, that begin with a label in `sites`,
+    whatever follows it; so their subdomains are listed too. Labels are compared whole."""
+    keys = pages.select(F.explode(host_suffixes(url_host(F.col(url_col)))).alias("key"))
+    label = F.substring_index("key", ".", 1)
+    return keys.where(label.isin(*[s.lower() for s in sites])).distinct()
+
+
 def judge_urls(
     pages: DataFrame, rules: Sequence[tuple[str, str]], blocked: DataFrame | Sequence[str] = (),
     id_col: str = "page_id", url_col: str = "url",
