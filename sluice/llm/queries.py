@@ -92,7 +92,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op10_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     from sluice.llm.sentence_spans import remove_repeated_spans
 
-    return remove_repeated_spans(table(spark, folder, "documents"))
+    return remove_repeated_spans(table(spark, folder, "documents"), anywhere=True)
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

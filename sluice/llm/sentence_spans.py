@@ -1,9 +1,15 @@
 """Removal of sentences that stand in repeated spans.
 
 A text is cut into sentences (long ones into clauses of a fixed number of words). From each sentence
-on, the shortest run of two sentences or more with a dozen words or more is a span. Spans are
-hashed, and the first occurrence of each hash over all documents is found by an aggregate that
-combines before the shuffle; sentences of every other occurrence are removed.
+on, the shortest run of two sentences or more with a dozen words or more is a span, and so is the
+shortest one that ends with it. Spans are hashed, and the first occurrence of each hash over all
+documents is found by an aggregate that combines before the shuffle; sentences of every other
+occurrence are removed.
+
+Passages that begin anywhere in a long sentence, or whose full stops differ, are found by runs of
+words: of every RUN runs of RUN words in a row, wherever sentences end, the one of the smallest hash
+is kept, so that any passage of 2 * RUN - 1 words has the same ones in both places. Of what such runs
+cover, words of long sentences are removed, and whole sentences where the cover goes on past them.
 """
 
 from __future__ import annotations
@@ -17,12 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.words import mix
 from sluice.session import cut_lineage
 
 SENTENCES = 2  # of a span at least
 WORDS = 12  # of a span at least
 LONG = 24  # a sentence of more words is cut
 CLAUSE = 16  # into clauses of so many
+RUN = 16  # words of a run that is looked up wherever it begins
 
 _END = re.compile(r"[.!?]+[^\S\n]+|\n+\s*|[.!?]+\n\s*")
 _WORD = re.compile(r"\S+")
@@ -46,21 +54,55 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def spans(units: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int, int, int]]:
-    """(hash, first, last) of the span from each sentence on, if the text is long enough."""
+def _digest(hashes: list[bytes]) -> int:
+    h = xxhash.xxh3_64_intdigest(b"".join(hashes))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def spans(units: list[tuple[int, int, list[str]]], ends_too: bool = False) -> Iterator[tuple[int, int, int]]:
+    """(hash, first, last) of the span from each sentence on, if the text is long enough; and of the
+    spans that end with each, where they are others."""
     sizes = np.cumsum([0] + [len(u[2]) for u in units])
     hashes = [xxhash.xxh3_64_digest(" ".join(u[2]).encode("utf-8", "surrogatepass")) for u in units]
     ends = np.searchsorted(sizes, sizes[:-1] + WORDS)  # sentences i to end - 1 have the words
+    known = set()
     for i, end in enumerate(np.maximum(ends, np.arange(len(units)) + SENTENCES)):
         if end > len(units):
             break
         if units[i][2]:
-            h = xxhash.xxh3_64_intdigest(b"".join(hashes[i:end]))
-            yield h - (1 << 64) if h >> 63 else h, i, int(end) - 1
-
-
-def _span_table(docs: DataFrame) -> DataFrame:
-    """(hash, id, text_hash, first, last) of `docs` (id, text)."""
+            known.add((i, int(end)))
+            yield _digest(hashes[i:end]), i, int(end) - 1
+    if not ends_too:
+        return
+    begins = np.searchsorted(sizes, sizes[1:] - WORDS, side="right") - 1  # the last begin with the words
+    for end, i in enumerate(np.minimum(begins, np.arange(len(units)) + 1 - SENTENCES).tolist(), 1):
+        if i >= 0 and units[end - 1][2] and units[i][2] and (i, end) not in known:
+            yield _digest(hashes[i:end]), i, end - 1
+
+
+def runs(units: list[tuple[int, int, list[str]]]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first words) of the runs that are looked up. The choice follows from the words alone,
+    so a passage of 2 * RUN - 1 words has one in common wherever it stands, and the runs of a longer
+    one leave no gap."""
+    words = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for u in units for w in u[2]]
+    if len(words) < RUN:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    x = np.array(words, np.uint64)
+    n = len(x) - RUN + 1
+    h = np.zeros(n, np.uint64)
+    for i in range(RUN):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + x[i : i + n])
+    if n <= RUN:
+        at = np.array([n - 1 - int(np.argmin(h[::-1]))])
+    else:
+        windows = np.lib.stride_tricks.sliding_window_view(h, RUN)
+        at = np.unique(np.arange(len(windows)) + RUN - 1 - windows[:, ::-1].argmin(axis=1))
+    return h[at].view(np.int64), at
+
+
+def _span_table(docs: DataFrame, anywhere: bool) -> DataFrame:
+    """(hash, id, text_hash, first, last) of `docs` (id, text); for a run of words, the first word and,
+    negated, the one after it."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +111,11 @@ def _span_table(docs: DataFrame) -> DataFrame:
             for low in range(0, len(texts), 500):
                 rows, found = [], []
                 for i, text in enumerate(texts[low : low + 500], low):
-                    mine = list(spans(sentences(text))) if text else []
+                    units = sentences(text) if text else []
+                    mine = list(spans(units, anywhere))
+                    if anywhere:
+                        h, first = runs(units)
+                        mine += zip(h.tolist(), first.tolist(), (-first - RUN).tolist())
                     rows += [i] * len(mine)
                     found += mine
                 at = pa.array(rows, pa.int64())
@@ -85,18 +131,63 @@ def _span_table(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, n_sentences, n_removed) for every row of `docs`. The first occurrence of a span is
+def _kept_text(text: str | None, marks: list[dict]) -> tuple[str | None, int, int]:
+    """The text without what is marked, the number of its sentences, and of those removed or cut."""
+    units = sentences(text) if text else []
+    drop = {i for m in marks if m["last"] >= 0 for i in range(m["first"], m["last"] + 1)}
+    cut: list[tuple[int, int]] = []  # characters
+    touched = set(drop)
+    covered = np.zeros(sum(len(u[2]) for u in units) + 1, bool)  # the last one is beyond the text
+    for m in marks:
+        if m["last"] < 0:
+            covered[m["first"] : -m["last"]] = True
+    if covered.any():
+        at = 0
+        for i, (a, b, words) in enumerate(units):
+            mine = covered[at : at + len(words)]
+            beyond = at and covered[at - 1] or covered[at + len(words)]
+            # clauses of a sentence follow each other without its end
+            long = len(words) and (i and not _END.search(text, units[i - 1][0], a) or i + 1 < len(units) and not _END.search(text, a, b))
+            at += len(words)
+            if i in drop or not mine.any():
+                continue
+            if mine.all() and (beyond or long):
+                drop.add(i), touched.add(i)
+            elif long:
+                touched.add(i)
+                places = [w.start() for w in _WORD.finditer(text, a, b)] + [b]
+                cut += [(places[k], places[k + 1]) for k in np.flatnonzero(mine).tolist()]
+    if not touched:
+        return text, len(units), 0
+    cut = sorted(cut + [units[i][:2] for i in drop])
+    out, at = [], 0
+    for a, b in cut:
+        out.append(text[at:a])
+        at = b
+    return "".join(out) + text[at:], len(units), len(touched)
+
+
+def remove_repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", anywhere: bool = False
+) -> DataFrame:
+    """(id, text, n_sentences, n_removed) for every row of `docs`; with `anywhere`, also by spans
+    that end with a sentence and by runs of words, and n_removed counts cut clauses too. The first occurrence of a span is
     that of the smallest id (nulls last), then by the text and the place in it; it stays. Null texts
     stay null. Repeated rows (same id and text) are one document and keep what it keeps."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    table = cut_lineage(_span_table(rows))
+    table = cut_lineage(_span_table(rows, anywhere))
+    # counts first: they are short rows, and few hashes occur twice
+    several = table.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    table = cut_lineage(table.join(several, "hash"))
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "first")
     kept = table.groupBy("hash").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
     kept = kept.where("kept != other").select("hash", "kept")
     again = table.join(kept, "hash").where(~place.eqNullSafe(F.col("kept")))
+    # of a run that overlaps the one that stays, the words after it
+    inside = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("text_hash") == F.col("kept.text_hash"))
+    past = F.when(inside & (F.col("last") < 0), F.greatest("first", F.col("kept.first") + RUN)).otherwise(F.col("first"))
     marks = again.groupBy(F.col("id").alias("_id"), "text_hash").agg(
-        F.collect_set(F.struct("first", "last")).alias("marks")
+        F.collect_set(F.struct(past.alias("first"), "last")).alias("marks")
     )
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (hashed["text_hash"] == marks["text_hash"])
@@ -106,11 +197,9 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, removed = [], [], []
-            for text, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                units = sentences(text) if text else []
-                drop = {i for s in spans_ or () for i in range(s["first"], s["last"] + 1)}
-                texts.append("".join(text[a:b] for i, (a, b, _) in enumerate(units) if i not in drop) if drop else text)
-                total.append(len(units)), removed.append(len(drop))
+            for text, marks_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                left, n, gone = _kept_text(text, marks_ or [])
+                texts.append(left), total.append(n), removed.append(gone)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
                 names=["id", "text", "n_sentences", "n_removed"],
