@@ -36,26 +36,29 @@ def byte_letters() -> dict[str, int]:
 
 def load_encoder(path: str):
     """A function from a list of texts to lists of ids, for a byte-level vocabulary file of
-    `tokenizers`. Where ids follow the order of the merges the same ids come several times faster
-    from `tiktoken`, which is used then."""
+    `tokenizers`; strings of added tokens in a text are those tokens, as there. Where ids follow the
+    order of the merges the same ids come several times faster from `tiktoken`, which is used then."""
     data = json.load(open(path, encoding="utf-8"))
     vocab, merges = data["model"]["vocab"], data["model"]["merges"]
     letters = byte_letters()
-    special = {t["content"] for t in data.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
+    plain = not any(t.get(k) for t in data.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
     joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
     first = len(letters)
-    if data["pre_tokenizer"]["type"] == "ByteLevel" and not data["pre_tokenizer"].get("add_prefix_space") and all(
+    if plain and data["pre_tokenizer"]["type"] == "ByteLevel" and not data["pre_tokenizer"].get("add_prefix_space") and all(
         vocab[t] == first + i for i, t in enumerate(joined)
     ):
         import tiktoken
 
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
-        fast = tiktoken.Encoding("vocabulary", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [fast.encode_ordinary(t) for t in texts]
+        fast = tiktoken.Encoding("vocabulary", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens=special)
+        return lambda texts: [
+            fast.encode(t, allowed_special="all") if any(s in t for s in special) else fast.encode_ordinary(t)
+            for t in texts
+        ]
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
     return lambda texts: [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
 
 

@@ -95,6 +95,24 @@ def op10_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_spans(table(spark, folder, "documents"), anywhere=True)
 
 
+def op11_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from sluice.llm.binary_pieces import power_of_two_sequences
+
+    return power_of_two_sequences(table(spark, folder, "documents"), vocabulary())
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from sluice.llm.merkle import dataset_manifest
+
+    return dataset_manifest(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from sluice.llm.vector_codes import vector_codes
+
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,7 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules, op2_best_fit_packing, op3_benchmark_decontamination, op4_html_extraction,
         op5_pii_surrogates, op6_kneser_ney, op7_url_cascade, op8_ngram_jaccard, op9_warc,
-        op10_sentence_spans, pipeline,
+        op10_sentence_spans, op11_power_of_two_packing, op12_merkle_manifest, op13_vector_codes,
+        pipeline,
     )
 }
 
