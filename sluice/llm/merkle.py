@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sluice.session import cut_lineage
 
 FAN = 16
-RUNS = 128  # runs to a window
+RUNS = 16  # runs to a window
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

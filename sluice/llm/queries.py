@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.manifest_sql import manifest_sql
+from sluice.llm.vector_codes_sql import codes_sql
 from sluice.session import shared_folder
 
 # Fixed values of the URL contract.
@@ -129,4 +131,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_merkle_manifest": manifest_sql(), "op13_vector_codes": codes_sql()}

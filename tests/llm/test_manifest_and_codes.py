@@ -88,7 +88,7 @@ def rows_of(df, *names):
 MANIFEST = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
-@pytest.mark.parametrize("runs", [128, 1])
+@pytest.mark.parametrize("runs", [16, 1])
 def test_manifest_equals_plain_tree(docs, monkeypatch, runs):
     monkeypatch.setattr(merkle, "RUNS", runs)
     want = plain_manifest(docs.collect())
