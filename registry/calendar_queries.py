@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from registry.core import (
-    NATION_DAY, REGION_DAY, STATIONS, Tables, nation_day, query, region_day, sday, ssunday,
-    stations, sweek, text_day, with_sql,
+    LAST_SUNDAY, NATION_DAY, REGION_DAY, STATIONS, Tables, nation_day, query, region_day, sday,
+    ship_weeks, ssunday, stations, sweek, text_day, with_sql,
 )
 from sluice.functions import calendar as cal
 
@@ -174,8 +174,8 @@ def _(t: Tables):
     "zone_week_grid",
     with_sql(
         f"""SELECT g.zone_id, {sday('g.sunday')} AS sunday, coalesce(v.qty, 0)::DOUBLE AS qty
-            FROM (SELECT zone_id, unnest(generate_series({ssunday("'1995-W01'")},
-                    {ssunday("'2001-W52'")}, INTERVAL 7 DAY))::DATE AS sunday
+            FROM (SELECT zone_id, unnest(generate_series(
+                    (SELECT date_trunc('week', make_date(isoyear(min(l_shipdate))::INT, 1, 4))::DATE + 6 FROM lineitem), {LAST_SUNDAY}, INTERVAL 7 DAY))::DATE AS sunday
                   FROM (SELECT DISTINCT zone_id FROM stations)) g
             LEFT JOIN (SELECT zone_id, date AS sunday, sum(value) AS qty FROM region_day
                        WHERE isodow(date) = 7 GROUP BY 1, 2) v USING (zone_id, sunday)""",
@@ -188,7 +188,8 @@ def _(t: Tables):
         region_day(t).where(cal.is_sunday(F.col("date")))
         .groupBy("zone_id", F.col("date").alias("sunday")).agg(F.sum("value").alias("qty"))
     )
-    grid = cal.zone_week_grid(zones, values, "zone_id", "sunday", 1995, "2001-W52", {"qty": 0.0})
+    first, last = ship_weeks(t)
+    grid = cal.zone_week_grid(zones, values, "zone_id", "sunday", int(first[:4]), last, {"qty": 0.0})
     return grid.select("zone_id", text_day("sunday").alias("sunday"), "qty")
 
 

@@ -192,6 +192,30 @@ REGION_RAIN = """region_rain AS (
         FROM region_day GROUP BY zone_id) s
   LEFT JOIN region_day d USING (zone_id, date))"""
 
+# --- The weeks a table spans -------------------------------------------------------------------
+
+
+def week_range(df: DataFrame, date: str) -> tuple[str, str]:
+    """Labels of the ISO weeks of the first and the last day of a table (one row to the driver). The weeks
+    of an empty table are those of 1970-01-01."""
+    from datetime import date as day
+
+    row = df.agg(F.min(F.to_date(date)).alias("a"), F.max(F.to_date(date)).alias("b")).first()
+    return tuple("{}-W{:02d}".format(*(d or day(1970, 1, 1)).isocalendar()[:2]) for d in (row.a, row.b))
+
+
+def ship_weeks(t: Tables) -> tuple[str, str]:
+    return week_range(t.lineitem, "l_shipdate")
+
+
+def ssunday_of(date: str, table: str) -> str:
+    """SQL twin: closing Sunday of the week of `date`, an aggregate over `table`."""
+    return f"(SELECT date_trunc('week', {date}::DATE)::DATE + 6 FROM {table})"
+
+
+FIRST_SUNDAY = ssunday_of("min(l_shipdate)", "lineitem")
+LAST_SUNDAY = ssunday_of("max(l_shipdate)", "lineitem")
+
 # Reference years of the driver tables
 REF = {"start": 1995, "end": 1999, "minimum": 3, "freeze": 2000}
 

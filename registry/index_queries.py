@@ -1,12 +1,12 @@
 """E: weekly indices, zone means, composite, and the flagship query."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry.core import (
-    NATION_DAY, READINGS, REGION_DAY, REGION_RAIN, STATIONS, Tables, class_sql, nation_day,
+    FIRST_SUNDAY, LAST_SUNDAY, NATION_DAY, READINGS, REF, REGION_DAY, REGION_RAIN, STATIONS, Tables, class_sql, nation_day,
     nation_id, probit_sql, query, r6, rank_p_sql, readings, region_rain, s6, sday,
-    select_years_sql, ssunday, stations, sweek, text_day, with_sql,
+    select_years_sql, ship_weeks, ssunday, stations, sweek, text_day, with_sql,
 )
 from registry.reference_queries import (
     DAY_SPINE, FLOW_NORMALS, GW_NORMALS, MONTHLY, PERIOD, SPI_NORMALS, WINDOWS, ZONE_WEEKS,
@@ -164,7 +164,7 @@ def _(t: Tables):
 # --- E5 to E7 -----------------------------------------------------------------------------------
 
 TARGETS = f"""targets AS (
-  SELECT station_id, unnest(generate_series({ssunday("'1995-W10'")}, {ssunday("'2001-W50'")},
+  SELECT station_id, unnest(generate_series({FIRST_SUNDAY}, {LAST_SUNDAY},
          INTERVAL 7 DAY))::DATE AS sunday FROM (SELECT DISTINCT station_id FROM nation_day)),
 running AS (
   SELECT t.station_id, t.sunday, avg(value) AS moyenne, count(*) AS n_jours, max(date) AS date_mesure
@@ -189,12 +189,9 @@ gw_index AS (
         WHERE sunday - date_mesure <= 365))"""
 
 
-def start():
-    return cal.week_sunday(F.lit("1995-W10"))
-
-
-def end():
-    return cal.week_sunday(F.lit("2001-W50"))
+def target_sundays(t: Tables) -> tuple[Column, Column]:
+    """First and last Sunday of the indices: the weeks of the observations."""
+    return tuple(cal.week_sunday(F.lit(week)) for week in ship_weeks(t))
 
 
 @query(
@@ -207,7 +204,7 @@ def end():
 )
 def _(t: Tables):
     rows = ix.running_month(nation_day(t), "station_id", "date", "value")
-    return rows.where((F.col("sunday") >= start()) & (F.col("sunday") <= end())).select(
+    return rows.where(F.col("sunday").between(*target_sundays(t))).select(
         "station_id", text_day("sunday").alias("sunday"), r6("moyenne").alias("moyenne"), "n_jours",
         text_day("date_mesure").alias("date_mesure"),
     )
@@ -223,8 +220,9 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    rows = ix.previous_valid_month(gw_monthly(t), "station_id", 365, end())
-    return rows.where(F.col("sunday") >= start()).select(
+    start, end = target_sundays(t)
+    rows = ix.previous_valid_month(gw_monthly(t), "station_id", 365, end)
+    return rows.where(F.col("sunday") >= start).select(
         "station_id", text_day("sunday").alias("sunday"), r6("moyenne").alias("moyenne"), "mois",
         text_day("date_mesure").alias("date_mesure"),
     )
@@ -233,7 +231,7 @@ def _(t: Tables):
 def gw_index(t: Tables) -> DataFrame:
     normals = ref.groundwater_normals(gw_monthly(t), "station_id", PERIOD)
     return ix.groundwater_index(
-        nation_day(t), normals, "station_id", "date", "value", start(), end()
+        nation_day(t), normals, "station_id", "date", "value", *target_sundays(t)
     )
 
 
@@ -258,13 +256,13 @@ def _(t: Tables):
 FLOW_INDEX = f"""flow_index AS (
   SELECT station_id, {sweek('date')} AS semaine, 'debit' AS indice, {probit_sql('p')} AS valeur,
          periode_ref, hors_reference, date_mesure, true AS dans_composite
-  FROM (SELECT *, {sample_p('q7')} AS p FROM rolling JOIN fl_normals USING (station_id)
-        WHERE isodow(date) = 7 AND least(weekofyear(date), 52) = semaine
-          AND date BETWEEN {ssunday("'1995-W10'")} AND {ssunday("'2001-W50'")}))"""
+  FROM (SELECT *, {sample_p('q7')} AS p
+        FROM (SELECT *, least(weekofyear(date), 52)::INT AS semaine FROM rolling WHERE isodow(date) = 7) JOIN fl_normals USING (station_id, semaine)
+        WHERE date BETWEEN {FIRST_SUNDAY} AND {LAST_SUNDAY}))"""
 SPI_INDEX = f"""spi_index AS (
   SELECT zone_id, {sweek('date')} AS semaine, indice, z AS valeur, periode_ref, hors_reference
   FROM ({gamma_z_sql('(SELECT t.zone_id, t.date, t.indice, total, forme, echelle, q0, periode_ref, hors_reference FROM totals t JOIN spi_normals n ON t.zone_id = n.zone_id AND t.indice = n.indice AND least(weekofyear(t.date), 52) = n.semaine)', 'total')})
-  WHERE date BETWEEN {ssunday("'1995-W10'")} AND {ssunday("'2001-W50'")})"""
+  WHERE date BETWEEN {FIRST_SUNDAY} AND {LAST_SUNDAY})"""
 RAIN = (NATION_DAY, STATIONS, REGION_DAY, REGION_RAIN, totals_sql("region_rain", WINDOWS))
 
 
@@ -279,7 +277,7 @@ RAIN = (NATION_DAY, STATIONS, REGION_DAY, REGION_RAIN, totals_sql("region_rain",
 def _(t: Tables):
     rolling = q7(t)
     normals = ref.flow_normals(rolling, "station_id", "date", "q7", PERIOD)
-    return _station_columns(ix.flow_index(rolling, normals, "station_id", "date", start(), end()))
+    return _station_columns(ix.flow_index(rolling, normals, "station_id", "date", *target_sundays(t)))
 
 
 @query(
@@ -293,7 +291,7 @@ def _(t: Tables):
 def _(t: Tables):
     totals = rain_totals(t)
     normals = ref.spi_normals(totals, "zone_id", "date", PERIOD)
-    rows = ix.spi_index(totals, normals, "zone_id", "date", start(), end())
+    rows = ix.spi_index(totals, normals, "zone_id", "date", *target_sundays(t))
     return rows.select(
         "zone_id", "semaine", "indice", r6("valeur", 4).alias("valeur"), "detail.periode_ref",
         "detail.hors_reference",
@@ -376,11 +374,11 @@ def chain_inputs(t: Tables) -> weekly.Inputs:
 
 
 CHAIN = weekly.Settings(period=PERIOD, q7_days_min=3, version="D14")
-FIRST, LAST = "1995-W10", "2001-W50"
 
 
 def chain(t: Tables) -> dict[str, DataFrame]:
-    return weekly.weekly_tables(chain_inputs(t), CHAIN, FIRST, LAST, history=FIRST)
+    first, last = ship_weeks(t)
+    return weekly.weekly_tables(chain_inputs(t), CHAIN, first, last, history=first)
 
 
 STATION_INDEX = """station_index AS (
@@ -457,7 +455,7 @@ CHAIN_CTES = (
 def _(t: Tables):
     inputs = chain_inputs(t)
     normals = weekly.station_normals(inputs, CHAIN)
-    by_station = weekly.station_indices(inputs, normals, CHAIN, start(), end())
+    by_station = weekly.station_indices(inputs, normals, CHAIN, *target_sundays(t))
     return ix.zone_mean(by_station, inputs.stations).select(
         "zone_id", "semaine", "indice", r6("valeur").alias("valeur"), "n_stations",
         F.array_join("detail.stations", ",").alias("stations"),
@@ -527,7 +525,7 @@ def _(t: Tables):
 def _(t: Tables):
     inputs = chain_inputs(t)
     normals = weekly.station_normals(inputs, CHAIN)
-    return _station_columns(weekly.station_indices(inputs, normals, CHAIN, start(), end()))
+    return _station_columns(weekly.station_indices(inputs, normals, CHAIN, *target_sundays(t)))
 
 
 @query(
@@ -540,7 +538,7 @@ def _(t: Tables):
             UNION ALL
             SELECT zone_id, semaine, 'onde', {s6('(n_rupture + n_assec) / n_stations', 4)}, 0,
                    n_stations, '', 'D14' FROM campaign_share
-            WHERE semaine BETWEEN '1995-W10' AND '2001-W50'""",
+            WHERE {ssunday('semaine')} BETWEEN {FIRST_SUNDAY} AND {LAST_SUNDAY}""",
         *CHAIN_CTES, CAMPAIGNS,
     ),
 )
@@ -597,6 +595,10 @@ def _(t: Tables):
     return ix.with_detail_text(weeks.withColumn("detail", detail)).drop("n")
 
 
+# The scale is checked over the reference years, as they are the ones it must be centred on.
+SCALE_WEEKS = f"{REF['start']}-W01", f"{REF['end']}-W53"
+
+
 @query(
     "scale_check",
     with_sql(
@@ -606,7 +608,7 @@ def _(t: Tables):
             FROM (SELECT indice, 'station' AS level, valeur, {class_sql('valeur')} AS classe, semaine
                   FROM station_index
                   UNION ALL SELECT indice, 'zone', valeur, {class_sql('valeur')}, semaine FROM ranked)
-            WHERE semaine BETWEEN '1995-W10' AND '1999-W52' GROUP BY 1, 2""",
+            WHERE semaine BETWEEN '{SCALE_WEEKS[0]}' AND '{SCALE_WEEKS[1]}' GROUP BY 1, 2""",
         *CHAIN_CTES,
     ),
 )
@@ -620,7 +622,7 @@ def _(t: Tables):
             .select(*columns, F.lit("zone").alias("level"))
         )
     )
-    table = ix.scale_check(both, ["indice", "level"], "1995-W10", "1999-W52")
+    table = ix.scale_check(both, ["indice", "level"], *SCALE_WEEKS)
     for c in ("moyenne", "ecart_type"):
         table = table.withColumn(c, r6(c, 5))
     return table.withColumn("part_classe_1", r6("part_classe_1")).withColumn(

@@ -6,7 +6,7 @@ from registry.core import (
     NATION_DAY, READINGS, REGION_DAY, STATIONS, Tables, nation_day, nation_id, query, r6, readings,
     region_day, s6, sday, stations, sweek, text_day, with_sql,
 )
-from registry.index_queries import CHAIN, STATION_CTES, end, start, chain_inputs, weights_table
+from registry.index_queries import CHAIN, STATION_CTES, chain_inputs, target_sundays, weights_table
 from sluice.functions import calendar as cal
 from sluice.operators import cleaning, quality
 from sluice.plans import weekly
@@ -69,7 +69,7 @@ def _(t: Tables):
 def _(t: Tables):
     inputs = chain_inputs(t)
     normals = weekly.station_normals(inputs, CHAIN)
-    by_station = weekly.station_indices(inputs, normals, CHAIN, start(), end())
+    by_station = weekly.station_indices(inputs, normals, CHAIN, *target_sundays(t))
     row = quality.week_coverage(region_day(t), by_station, "2000-W20")
     return row.withColumn("last_rain", text_day("last_rain"))
 

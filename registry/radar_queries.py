@@ -12,9 +12,9 @@ from sluice.operators.components import network_reach
 
 PIXELS = """dom AS (SELECT 'M' || (p_partkey // 64 // 16)::VARCHAR AS marais, (p_partkey % 64)::INT AS ix, (p_partkey // 64)::INT AS iy,
     p_size % 10 <> 0 AS domaine, CASE p_size % 3 WHEN 0 THEN 'ouvert' WHEN 1 THEN 'ferme' END AS regime FROM part),
-seen AS (SELECT (l_partkey % 64)::INT AS ix, (l_partkey // 64)::INT AS iy,
+seen AS MATERIALIZED (SELECT (l_partkey % 64)::INT AS ix, (l_partkey // 64)::INT AS iy,
     make_date(year(l_shipdate), (quarter(l_shipdate) - 1) * 3 + 2, 1) AS date, median(-l_quantity / 2) AS db FROM lineitem GROUP BY 1, 2, 3),
-pixels AS (SELECT d.marais, d.ix, d.iy, p.date, s.db FROM dom d JOIN (SELECT DISTINCT marais, date FROM seen JOIN dom USING (ix, iy)) p USING (marais)
+pixels AS MATERIALIZED (SELECT d.marais, d.ix, d.iy, p.date, s.db FROM dom d JOIN (SELECT DISTINCT marais, date FROM seen JOIN dom USING (ix, iy)) p USING (marais)
     LEFT JOIN seen s ON s.ix = d.ix AND s.iy = d.iy AND s.date = p.date)"""
 REFS = """yearly AS (SELECT marais, ix, iy, year(date)::INT AS annee, round_even(median(db) * 100, 0) / 100 AS ref FROM pixels
     WHERE month(date) IN (7, 8, 9) AND db IS NOT NULL GROUP BY 1, 2, 3, 4),

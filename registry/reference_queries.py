@@ -409,8 +409,8 @@ rolling AS (
 FLOW_NORMALS = f"""sundays AS (
     SELECT DISTINCT (date_trunc('week', make_date(y, 1, 4))::DATE + ((w - 1) * 7 + 6)) AS sunday,
            y AS year, w AS semaine
-    FROM (SELECT unnest(range(1995, 2002))::INT AS y), (SELECT unnest(range(1, 53))::INT AS w)),
-  windowed AS (SELECT station_id, semaine, year, list(q7) AS v FROM rolling
+    FROM (SELECT unnest(range((SELECT min(year(date)) - 1 FROM rolling), (SELECT max(year(date)) + 2 FROM rolling)))::INT AS y), (SELECT unnest(range(1, 53))::INT AS w)),
+  windowed AS MATERIALIZED (SELECT station_id, semaine, year, list(q7) AS v FROM rolling
     JOIN sundays ON date BETWEEN sunday - 15 AND sunday + 15 GROUP BY 1, 2, 3
     HAVING count(*) >= 16),
   fl_years AS (SELECT station_id, semaine, list_sort(list(year)) AS valid FROM windowed GROUP BY 1, 2),

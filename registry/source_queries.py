@@ -490,7 +490,20 @@ def _(t: Tables):
     )
 
 
-@query("table_fingerprint")
+_LINE_TEXT = " || ".join(
+    f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    for c in (
+        "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag "
+        "l_linestatus l_shipdate"
+    ).split()
+)
+
+
+@query(
+    "table_fingerprint",
+    f"""SELECT count(*) AS n, sum(('0x' || substr(md5({_LINE_TEXT}), 1, 15))::UBIGINT::HUGEINT)::VARCHAR AS fingerprint
+        FROM lineitem""",
+)
 def _(t: Tables):
     table = sinks.table_fingerprint(t.lineitem)
     return table.withColumn("fingerprint", F.col("fingerprint").cast("string"))
@@ -514,7 +527,22 @@ def _(t: Tables):
     return sinks.feature_collection(rows, "geometrie", ["station_id", "zone_id"])
 
 
-@query("export_by_year")
+@query(
+    "export_by_year",
+    with_sql(
+        """SELECT substr(semaine, 1, 4)::INT AS year, '{"semaine":"' || semaine || '","zones":' || coalesce(zones, '{}')
+              || ',"stations":' || coalesce(stations, '{}') || ',"synthese":' || coalesce(synthese, 'null') || '}' AS value
+           FROM wz FULL JOIN ws USING (semaine) FULL JOIN wy USING (semaine)""",
+        NATION_DAY, STATIONS, REGION_DAY,
+        f"""wz AS (SELECT semaine, '{{' || string_agg('"' || zone_id || '":{{"valeur":' || v || '}}', ',' ORDER BY zone_id) || '}}' AS zones
+              FROM (SELECT zone_id, {sweek('date')} AS semaine, sum(value) AS v FROM region_day GROUP BY 1, 2) GROUP BY 1),
+        ws AS (SELECT semaine, '{{' || string_agg('"' || station_id || '":{{"valeur":' || v || coalesce(',"classe":' || c, '') || '}}', ','
+                ORDER BY station_id) || '}}' AS stations
+              FROM (SELECT station_id, {sweek('date')} AS semaine, sum(value) AS v, max(CASE WHEN n > 3 THEN n END) AS c
+                    FROM nation_day GROUP BY 1, 2) GROUP BY 1),
+        wy AS (SELECT {sweek('date')} AS semaine, '{{"total":' || sum(value) || '}}' AS synthese FROM nation_day GROUP BY 1)""",
+    ),
+)
 def _(t: Tables):
     week = cal.iso_week_label(F.col("date")).alias("semaine")
     z = region_day(t).groupBy("zone_id", week).agg(F.sum("value").alias("valeur"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.api_queries import BASE, composite_table, idx, zones
-from registry.core import Tables, query, r6, s6, ssunday, sday, sweek, with_sql
+from registry.core import Tables, query, r6, s6, sday, ssunday, ssunday_of, sweek, week_range, with_sql
 from sluice.functions.ranking import spearman
 from sluice.operators import validation as va
 from sluice.session import cut_lineage
@@ -19,7 +19,9 @@ DECREES = """decrees AS (
       WHEN '3' THEN 'alerte' WHEN '4' THEN 'vigilance' END AS niveau_gravite,
     CASE WHEN c_nationkey < 23 AND o_orderdate >= DATE '1996-02-01' THEN 'N' || lpad(c_nationkey::VARCHAR, 2, '0') END AS zone_id
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
-LEVELS = f"""sundays AS (SELECT unnest(generate_series({ssunday("'1996-W01'")}, {ssunday("'2001-W52'")},
+LEVELS = f"""sundays AS (SELECT unnest(generate_series(
+      (SELECT date_trunc('week', make_date(year(min(date_debut))::INT, 1, 4))::DATE + 6 FROM decrees WHERE nom_zone_alerte IS NOT NULL),
+      {ssunday_of('max(o_orderdate)', 'orders')},
       INTERVAL 7 DAY))::DATE AS sunday),
   in_force AS (SELECT zone_id, type_zone_alerte, nom_zone_alerte, sunday, CASE niveau_gravite WHEN 'crise' THEN 4
       WHEN 'alerte_renforcee' THEN 3 WHEN 'alerte' THEN 2 ELSE 1 END AS niveau
@@ -69,7 +71,7 @@ def matched(t: Tables) -> DataFrame:
 
 def levels(t: Tables) -> DataFrame:
     wanted = zone_names(t).select("zone_id").distinct()
-    return va.weekly_level(matched(t), wanted, "2001-W52")
+    return va.weekly_level(matched(t), wanted, week_range(t.orders, "o_orderdate")[1])
 
 
 def table(t: Tables) -> DataFrame:

@@ -126,10 +126,14 @@ def load_audit(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Number of rows and sum of row hashes: the same whatever the order of rows."""
-    row = F.xxhash64(*[F.col(c) for c in df.columns])
+    """Number of rows and sum of row hashes, so the same whatever the order of rows. A row's hash is the
+    first 60 bits of the MD5 of its values as text, each after its length, null as `-`: any engine can
+    compute it again."""
+    text = [F.col(c).cast("string") for c in df.columns]
+    fields = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
+    number = F.conv(F.substring(F.md5(F.concat(*fields)), 1, 15), 16, 10)
     return df.agg(
-        F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).alias("fingerprint")
+        F.count("*").alias("n"), F.sum(number.cast("decimal(38,0)")).alias("fingerprint")
     )
 
 
