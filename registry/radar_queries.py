@@ -3,12 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry.core import Tables, query, r6, s6, sday, text_day, with_sql
+from registry.core import Tables, query, r6, s6, scratch, sday, text_day, with_sql
 from registry.landcover_queries import CODES, codes
 from registry.optical_queries import cells, rounded
 from sluice.operators import radar as ra
 from sluice.operators import series as se
 from sluice.operators.components import network_reach
+from sluice.plans.resume import resume, resume_passages
+from sluice.session import cut_lineage
+from sluice.sources.snapshots import SnapshotStore
 
 PIXELS = """dom AS (SELECT 'M' || (p_partkey // 64 // 16)::VARCHAR AS marais, (p_partkey % 64)::INT AS ix, (p_partkey // 64)::INT AS iy,
     p_size % 10 <> 0 AS domaine, CASE p_size % 3 WHEN 0 THEN 'ouvert' WHEN 1 THEN 'ferme' END AS regime FROM part),
@@ -215,6 +218,61 @@ def _(t: Tables):
     return rows.withColumn("date", text_day("date")).fillna(-1.0)
 
 
+_CUT = "(SELECT (min(year(l_shipdate)) + max(year(l_shipdate))) // 2 FROM lineitem)"
+RESUMED = PASSAGES.replace(
+    "FROM yearly GROUP BY 1, 2, 3)", f"FROM yearly WHERE annee <= {_CUT} GROUP BY 1, 2, 3)", 1
+)
+
+
+def run_years(t: Tables) -> tuple[int, int, int]:
+    """First, middle and last year of the passes."""
+    years = t.lineitem.agg(F.min(F.year("l_shipdate")).alias("a"), F.max(F.year("l_shipdate")).alias("b")).first()
+    return years.a, (years.a + years.b) // 2, years.b
+
+
+@query("passages_resumed", RESUMED)
+def _(t: Tables):
+    # two runs: one in the autumn of the middle year, on the passes there were, and one after the last;
+    # the fixed reference is that of the years up to the middle one
+    first, cut, last = run_years(t)
+    store = SnapshotStore(t.spark, scratch(t, "passages"))
+    for today in (f"{cut}-11-01", f"{last}-12-31"):
+        archive = cut_lineage(pixels(t).where(F.col("date") <= today))
+        resume_passages(
+            store, archive.select("marais", "date"), archive, domain(t), ["ouvert", "ferme"], 0.01,
+            F.lit(today).cast("date"), "drop 3, limit -13, 2 px", period=(first, cut), years_per_commit=10,
+            minimum=2, tile=32, limit=-13.0,
+        )
+    rows = store.read("passages").drop("annee", "ha_ferme")
+    rows = rounded(rows, "surface_ha", "pct_valides", "ha_ouvert", "ha_autres")
+    return rows.withColumn("date", text_day("date")).fillna(-1.0)
+
+
+@query(
+    "passages_units",
+    with_sql(
+        f"""SELECT marais, year(date)::INT AS annee, count(*) AS n, count(db) AS n_seen, CASE WHEN year(date) < {_CUT} THEN 1 ELSE 2 END AS run,
+              year(date) < (SELECT max(year(l_shipdate)) FROM lineitem) AS closed
+            FROM pixels GROUP BY 1, 2""",
+        PIXELS,
+    ),
+)
+def _(t: Tables):
+    # the ledger of two runs, with the pixels each finished unit read
+    _, cut, last = run_years(t)
+    store, keys, made = SnapshotStore(t.spark, scratch(t, "units")), ["marais", "annee"], []
+    for today in (f"{cut}-11-01", f"{last}-12-31"):
+        archive = cut_lineage(pixels(t).where(F.col("date") <= today).withColumn("annee", F.year("date")))
+        made += resume(
+            store, "pixels", archive, keys, "v1", F.col("annee") >= int(today[:4]),
+            lambda units, a=archive: a.join(units, keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("n"), F.count("db").alias("n_seen")),
+            years_per_commit=10,
+        )
+    run = F.when(F.col("snapshot") <= made[0], 1).otherwise(2)
+    units = store.read("pixels_units").select(*keys, run.alias("run"), "closed")
+    return units.join(store.read("pixels"), keys)
+
+
 # --- K9, K10 ------------------------------------------------------------------------------------
 
 PASSES = """passes AS (SELECT 'Z' || n_regionkey::VARCHAR AS marais, l_returnflag AS variante, l_shipdate::DATE AS date,

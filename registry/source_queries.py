@@ -1,6 +1,7 @@
 """A: scans, shaping, merges and exports."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from registry.core import (
 )
 from sluice.functions import calendar as cal
 from sluice.sources import scans, sinks
+from sluice.sources.snapshots import SnapshotStore
 
 
 @query(
@@ -400,11 +402,11 @@ def _(t: Tables):
 
 @query("merge_into_table", _MERGED)
 def _(t: Tables):
-    path = scratch(t, "merge")
+    store = SnapshotStore(t.spark, scratch(t, "merge"))
     stored, batch = _stored_and_batch(t)
     for part in (stored, batch, batch):  # the second run of a batch changes nothing
-        sinks.merge_into(t.spark, path, part, ["station_id", "date"], ["value"])
-    table = t.spark.read.parquet(path).select("station_id", "date", "value", "ingere_le")
+        store.merge("observations", part, ["station_id", "date"], ["value"])
+    table = store.read("observations").select("station_id", "date", "value", "ingere_le")
     return table.withColumn("date", text_day("date")).fillna({"value": -1.0})
 
 
@@ -413,13 +415,14 @@ def _(t: Tables):
     from sluice.streaming.merge_stream import merge_new_files
 
     landing, path, state = (scratch(t, n) for n in ("landing", "stream", "state"))
+    store = SnapshotStore(t.spark, path)
     schema = {"station_id": "string", "date": "date", "value": "double", "ingere_le": "string"}
     for part in _stored_and_batch(t):
         part.write.mode("append").parquet(landing)
         merge_new_files(
-            t.spark, landing, schema, path, ["station_id", "date"], ["value"], ["ingere_le"], state
+            t.spark, landing, schema, store, "observations", ["station_id", "date"], ["value"], ["ingere_le"], state
         ).awaitTermination()
-    table = t.spark.read.parquet(path).select("station_id", "date", "value", "ingere_le")
+    table = store.read("observations").select("station_id", "date", "value", "ingere_le")
     return table.withColumn("date", text_day("date")).fillna({"value": -1.0})
 
 
@@ -442,6 +445,91 @@ def _(t: Tables):
     return sinks.replace_weeks(stored, fresh, again)
 
 
+# --- Several tables in one snapshot -------------------------------------------------------------
+
+def _week_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
+    week = cal.iso_week_label(F.col("date")).alias("semaine")
+    zones = region_day(t).groupBy("zone_id", week).agg(F.sum("value").alias("value"))
+    return zones, nation_day(t).groupBy("station_id", week).agg(F.sum("value").alias("value"))
+
+
+class _Died(Exception):
+    pass
+
+
+def _published(t: Tables) -> SnapshotStore:
+    """Three commits of both tables: all weeks, a run that dies after one table, weeks of the spring anew
+    (without one zone and one station)."""
+    store = SnapshotStore(t.spark, scratch(t, "published"))
+    zones, stations_ = _week_tables(t)
+    with store.transaction() as c:
+        c.replace_weeks("zones", zones, zones.select("semaine"))
+        c.replace_weeks("stations", stations_, stations_.select("semaine"))
+    again = [x.where(F.col("semaine").contains("-W1")) for x in (zones, stations_)]
+    try:
+        with store.transaction() as c:
+            c.replace_weeks("zones", again[0].withColumn("value", F.lit(-1.0)), again[0])
+            raise _Died
+    except _Died:
+        pass
+    fresh = (again[0].where("zone_id <> 'Z0'"), again[1].where("station_id <> 'N00'"))
+    with store.transaction() as c:
+        for name, new, weeks in zip(("zones", "stations"), fresh, again):
+            c.replace_weeks(name, new.withColumn("value", F.col("value") + 1000), weeks)
+    return store
+
+
+_PUBLISHED = f"""z AS (SELECT zone_id AS id, {sweek('date')} AS semaine, sum(value) AS value FROM region_day GROUP BY 1, 2),
+s AS (SELECT station_id AS id, {sweek('date')} AS semaine, sum(value) AS value FROM nation_day GROUP BY 1, 2),
+first AS (SELECT 'zones' AS table_name, * FROM z UNION ALL SELECT 'stations', * FROM s),
+second AS (SELECT table_name, id, semaine, CASE WHEN semaine LIKE '%-W1%' THEN value + 1000 ELSE value END AS value FROM first
+  WHERE semaine NOT LIKE '%-W1%' OR id NOT IN ('Z0', 'N00'))"""
+
+
+@query(
+    "publish_tables",
+    with_sql(
+        "SELECT 1 AS version, * FROM first UNION ALL SELECT 2, * FROM second", NATION_DAY, STATIONS, REGION_DAY, _PUBLISHED
+    ),
+)
+def _(t: Tables):
+    store, parts = _published(t), []
+    for version in store.versions():
+        for name, key in (("zones", "zone_id"), ("stations", "station_id")):
+            rows = store.read(name, version)
+            parts.append(rows.select(F.lit(version).alias("version"), F.lit(name).alias("table_name"), F.col(key).alias("id"), "semaine", "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "snapshot_history",
+    with_sql(
+        """SELECT version, table_name, count(DISTINCT substr(semaine, 1, 4)) AS n_parts, count(*) AS n_rows
+           FROM (SELECT 1::BIGINT AS version, * FROM first UNION ALL SELECT 2, * FROM second) GROUP BY 1, 2""",
+        NATION_DAY, STATIONS, REGION_DAY, _PUBLISHED,
+    ),
+)
+def _(t: Tables):
+    return _published(t).history()
+
+
+@query(
+    "publish_audit",
+    with_sql(
+        """SELECT (table_name <> 'zones')::INT AS position, table_name, count(*) AS n_read, count(*) AS n_loaded, true AS ok
+           FROM first GROUP BY 2""",
+        NATION_DAY, STATIONS, REGION_DAY, _PUBLISHED,
+    ),
+)
+def _(t: Tables):
+    store = SnapshotStore(t.spark, scratch(t, "audited"))
+    zones, stations_ = _week_tables(t)
+    commit = store.transaction()
+    commit.replace_weeks("zones", zones, zones.select("semaine"))
+    commit.replace("stations", stations_)
+    return commit.audit()  # counted before the swap
+
+
 @query(
     "incremental_since",
     with_sql(

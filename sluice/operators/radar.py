@@ -51,16 +51,26 @@ def dry_reference(
     """Per pixel and year: median of the passes of the dry months, to 0.01 dB (`annee`), and the
     fixed reference, median of the yearly ones of `period` (all without one; `annee` null). With
     `today`, a season that is not over is left out. Groups hold one season of passes."""
-    keys = [*site, "ix", "iy"]
     if today is not None:
         df = df.where(cal.season_complete(F.year("date"), today, max(months)))
-    yearly = (
+    return with_fixed_reference(yearly_reference(df, site, months), site, period)
+
+
+def yearly_reference(df: DataFrame, site: Sequence[str], months: Sequence[int] = DRY_MONTHS) -> DataFrame:
+    """Per pixel and year, the median of the passes of the dry months."""
+    return (
         df.where(F.month("date").isin(list(months)) & F.col("db").isNotNull())
-        .groupBy(*keys, F.year("date").alias("annee"))
+        .groupBy(*site, "ix", "iy", F.year("date").alias("annee"))
         .agg(_centi(F.median("db")).alias("ref"))
     )
+
+
+def with_fixed_reference(
+    yearly: DataFrame, site: Sequence[str], period: tuple[int, int] | None = None
+) -> DataFrame:
+    """Yearly references and the median of those of `period`, by `variante`."""
     chosen = yearly if period is None else yearly.where(F.col("annee").between(*period))
-    fixed = chosen.groupBy(*keys).agg(_centi(F.median("ref")).alias("ref"))
+    fixed = chosen.groupBy(*site, "ix", "iy").agg(_centi(F.median("ref")).alias("ref"))
     return yearly.withColumn("variante", F.lit("hydro")).unionByName(
         fixed.withColumn("annee", F.lit(None).cast("int")).withColumn("variante", F.lit("fixe"))
     )
@@ -200,24 +210,45 @@ def passages(
     domaine, regime. Passes and references are smoothed once and written aside for the joins."""
     pixels = cut_lineage(pixels)
     refs = dry_reference(pixels, ["marais"], period=period, today=today)
-    refs = refs.where(F.col("variante").isin(list(variants))).withColumn(
-        "annee_ref", F.coalesce("annee", F.lit(0))
+    refs = refs.where(F.col("variante").isin(list(variants)))
+    asked = pixels.select("marais", "date").distinct().withColumn(
+        "variante", F.explode(F.array(*[F.lit(v) for v in variants]))
     )
-    image = ["marais", "variante", "annee_ref"]
-    known = refs.select(*image).distinct()
+    smooth = smooth_references(refs, domain, tile)
+    return detect_passes(pixels, asked, smooth, domain, regimes, pixel_ha, minimum, tile, drop, limit)
+
+
+REFERENCE_IMAGE = ["marais", "variante", "annee_ref"]
+
+
+def smooth_references(refs: DataFrame, domain: DataFrame, tile: int = TILE) -> DataFrame:
+    """Every reference on the full grid of its site, with its 3 x 3 median `ref_lisse`; written once."""
+    refs = refs.withColumn("annee_ref", F.coalesce("annee", F.lit(0)))
+    known = refs.select(*REFERENCE_IMAGE).distinct()
     full = domain.select("marais", "ix", "iy").join(known, "marais").join(
-        refs.select(*image, "ix", "iy", "ref"), [*image, "ix", "iy"], "left"
+        refs.select(*REFERENCE_IMAGE, "ix", "iy", "ref"), [*REFERENCE_IMAGE, "ix", "iy"], "left"
     )
-    ref_smooth = cut_lineage(median_filter_3x3(full, image, "ref", "ref_lisse", tile))
+    return cut_lineage(median_filter_3x3(full, REFERENCE_IMAGE, "ref", "ref_lisse", tile))
+
 
+def detect_passes(
+    pixels: DataFrame,
+    asked: DataFrame,
+    ref_smooth: DataFrame,
+    domain: DataFrame,
+    regimes: Sequence[str],
+    pixel_ha: float,
+    minimum: int = PATCH_PX,
+    tile: int = TILE,
+    drop: float = DROP_DB,
+    limit: float = LIMIT_DB,
+) -> DataFrame:
+    """The areas of the passes `asked` (marais, date, variante), against the references of
+    `smooth_references`."""
     year = F.when(F.col("variante") != "fixe", cal.season_reference_year(F.col("date")))
-    asked = (
-        pixels.select("marais", "date").distinct()
-        .withColumn("variante", F.explode(F.array(*[F.lit(v) for v in variants])))
-        .withColumn("annee_ref", F.coalesce(year, F.lit(0)))
-    )
-    passes = asked.join(known, image, "left_semi")
-    joined = passes.join(pixels, ["marais", "date"]).join(ref_smooth, [*image, "ix", "iy"])
+    asked = asked.withColumn("annee_ref", F.coalesce(year, F.lit(0)))
+    passes = asked.join(ref_smooth.select(*REFERENCE_IMAGE).distinct(), REFERENCE_IMAGE, "left_semi")
+    joined = passes.join(pixels, ["marais", "date"]).join(ref_smooth, [*REFERENCE_IMAGE, "ix", "iy"])
     ok = F.col("db").isNotNull() & F.col("ref").isNotNull()
     joined = joined.withColumn("ok", ok).withColumn("_seen", F.when(ok, F.col("db")))
     keys = ["marais", "date", "variante", "annee_ref"]

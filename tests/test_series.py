@@ -12,6 +12,7 @@ from sluice.operators.cleaning import shift_late_readings
 from sluice.operators.radar import kendall_exact_rows, trend_test
 from sluice.operators.series import despike_fill
 from sluice.sources import sinks
+from sluice.sources.snapshots import SnapshotStore
 
 
 def days(start, n):
@@ -137,7 +138,7 @@ def test_late_reading_moves_only_into_an_empty_week(spark):
 
 
 def test_merge_keeps_unchanged_rows_and_repeats_nothing(spark, tmp_path):
-    path = str(tmp_path / "table")
+    store = SnapshotStore(spark, str(tmp_path / "table"))
     schema = "s string, date date, v double, seen string"
     d = days("2019-12-30", 4)
     first = spark.createDataFrame([("a", x, float(i), "mon") for i, x in enumerate(d)], schema)
@@ -145,8 +146,8 @@ def test_merge_keeps_unchanged_rows_and_repeats_nothing(spark, tmp_path):
         [("a", d[0], 0.0, "tue"), ("a", d[1], 9.0, "tue"), ("a", d[3], None, "tue"), ("b", d[2], 5.0, "tue")], schema
     )
     for batch in (first, again, again):
-        sinks.merge_into(spark, path, batch, ["s", "date"], ["v"])
-    got = {(r["s"], r["date"]): (r["v"], r["seen"]) for r in spark.read.parquet(path).collect()}
+        store.merge("t", batch, ["s", "date"], ["v"])
+    got = {(r["s"], r["date"]): (r["v"], r["seen"]) for r in store.read("t").collect()}
     assert got == {
         ("a", d[0]): (0.0, "mon"), ("a", d[1]): (9.0, "tue"), ("a", d[2]): (2.0, "mon"),
         ("a", d[3]): (None, "tue"), ("b", d[2]): (5.0, "tue"),
