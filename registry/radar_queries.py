@@ -251,9 +251,9 @@ def _(t: Tables):
 @query(
     "passages_units",
     with_sql(
-        f"""SELECT marais, year(date)::INT AS annee, count(*) AS n, count(db) AS n_seen, CASE WHEN year(date) < {_CUT} THEN 1 ELSE 2 END AS run,
-              year(date) < (SELECT max(year(l_shipdate)) FROM lineitem) AS closed
-            FROM pixels GROUP BY 1, 2""",
+        f"""SELECT *, CASE WHEN annee < {_CUT} THEN 1 ELSE 2 END AS run,
+              annee < (SELECT max(year(l_shipdate)) FROM lineitem) AS closed
+            FROM (SELECT marais, year(date)::INT AS annee, count(*) AS n, count(db) AS n_seen FROM pixels GROUP BY 1, 2)""",
         PIXELS,
     ),
 )

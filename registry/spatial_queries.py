@@ -83,6 +83,30 @@ def _(t: Tables):
     return sp.cells_intersecting(points(t), edges(t), "id", 200.0, 500.0)
 
 
+_WIDE = "greatest(0, least(x1, cx + r - abs({y} - cy)) - greatest(x0, cx - r + abs({y} - cy)))"
+COVERAGE = f"""squares AS (SELECT zone_id, cx, cy, r, ix, iy, 700 * ix::DOUBLE AS x0, 700 * (ix + 1)::DOUBLE AS x1, 700 * iy::DOUBLE AS y0, 700 * (iy + 1)::DOUBLE AS y1
+    FROM (SELECT *, unnest(range(floor((cx - r) / 700)::BIGINT, floor((cx + r) / 700)::BIGINT + 1)) AS ix FROM corners),
+      (SELECT unnest(range(-5, 20)) AS iy)),
+knots AS (SELECT *, list_sort(list_transform([y0, y1, cy, cy - r, cy + r, cy - r + abs(x0 - cx), cy + r - abs(x0 - cx), cy - r + abs(x1 - cx), cy + r - abs(x1 - cx)],
+    lambda y: greatest(y0, least(y1, y)))) AS k FROM squares),
+strips AS (SELECT * EXCLUDE (k), unnest(k[:-2]) AS a, unnest(k[2:]) AS b FROM knots),
+coverage AS (SELECT zone_id, ix, iy, sum((b - a) * ({_WIDE.format(y='a')} + {_WIDE.format(y='b')}) / 2) AS surface FROM strips
+    GROUP BY 1, 2, 3 HAVING sum((b - a) * ({_WIDE.format(y='a')} + {_WIDE.format(y='b')}) / 2) > 0.000001)"""
+
+
+@query(
+    "cell_coverage",
+    with_sql(
+        f"""SELECT zone_id, ix, iy, {s6('surface', 4)} AS surface, {s6('surface / sum(surface) OVER (PARTITION BY zone_id)', 8)} AS poids
+            FROM coverage""",
+        EDGES, COVERAGE,
+    ),
+)
+def _(t: Tables):
+    rows = sp.coverage_weights(sp.cell_coverage(edges(t), 700.0))
+    return rows.where("surface > 0.000001").select("zone_id", "ix", "iy", r6("surface", 4).alias("surface"), r6("poids", 8).alias("poids"))
+
+
 @query(
     "overlay_surface",
     with_sql(

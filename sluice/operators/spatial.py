@@ -3,7 +3,7 @@ any order; candidates always come from an equi-join on tiles, never from all pai
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.operators.radar import pixel_patches
@@ -18,44 +18,95 @@ def _slots(low: Column, high: Column, size: float) -> Column:
     return F.sequence(_slot(low, size), _slot(high, size))
 
 
-def point_in_polygon(
-    points: DataFrame, edges: DataFrame, point: str, tile: float
-) -> DataFrame:
-    """(point, zone_id) for each polygon that contains a point, by ray crossing.
-
-    A point meets the polygons whose bounding box touches its tile, then only their edges that
-    span its horizontal band."""
-    boxes = edges.groupBy("zone_id").agg(
-        F.min(F.least("x1", "x2")).alias("_xa"), F.max(F.greatest("x1", "x2")).alias("_xb"),
-        F.min(F.least("y1", "y2")).alias("_ya"), F.max(F.greatest("y1", "y2")).alias("_yb"),
-    )
-    tiles = (
-        boxes.withColumn("_tx", F.explode(_slots(F.col("_xa"), F.col("_xb"), tile)))
-        .withColumn("_ty", F.explode(_slots(F.col("_ya"), F.col("_yb"), tile)))
-        .select("zone_id", "_tx", "_ty")
+def edge_tiles(edges: DataFrame, size: float, reach: float = 0.0) -> DataFrame:
+    """Each edge once for every tile (`_tx`, `_ty`) it comes within `reach` of: row by row, the tiles over
+    the part of the edge inside that row, never the whole box around it."""
+    rows = edges.withColumn(
+        "_ty", F.explode(_slots(F.least("y1", "y2") - reach, F.greatest("y1", "y2") + reach, size))
     )
-    located = points.select(
-        point, "x", "y", _slot(F.col("x"), tile).alias("_tx"), _slot(F.col("y"), tile).alias("_ty")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+
+    def at(y: Column) -> Column:
+        t = (y - F.col("y1")) / F.nullif(dy, F.lit(0.0))
+        return F.col("x1") + F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)) * dx
+
+    low, high = at(F.col("_ty") * size - reach), at((F.col("_ty") + 1) * size + reach)
+    flat = dy == 0
+    xa = F.when(flat, F.least("x1", "x2")).otherwise(F.least(low, high))
+    xb = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(low, high))
+    pad = reach + size * 1e-9  # more tiles than needed do no harm
+    return rows.withColumn("_tx", F.explode(_slots(xa - pad, xb + pad, size)))
+
+
+def tile_index(edges: DataFrame, tile: float) -> DataFrame:
+    """(zone_id, _tx, _ty, _odd, _edges): for each tile that a zone touches or covers, the parity of the
+    zone's crossings left of the tile's lower left corner, and its edges in the tile.
+
+    The parity is a running sum, along each row of tiles, of the crossings of the row's lower line. Tiles
+    inside a zone have no edges and an odd parity."""
+    size = float(tile)
+    lines = edges.withColumn(
+        "_ty", F.explode(_slots(F.least("y1", "y2"), F.greatest("y1", "y2"), size))
+    ).withColumn("_y", F.col("_ty") * size)
+    crossings = lines.where((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))).select(
+        "zone_id", "_ty", F.ceil(_x_at(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), F.col("_y")) / size).alias("_from")
     )
-    candidates = located.join(tiles, ["_tx", "_ty"]).drop("_tx")
-    bands = edges.where(F.col("y1") != F.col("y2")).withColumn(
-        "_ty", F.explode(_slots(F.least("y1", "y2"), F.greatest("y1", "y2"), tile))
+    row = Window.partitionBy("zone_id", "_ty").orderBy("_from")
+    odd = (
+        crossings.groupBy("zone_id", "_ty", "_from").agg(F.count("*").alias("_n"))
+        .withColumn("_sum", F.sum("_n").over(row.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("_to", F.lead("_from").over(row))
+        .where((F.col("_sum") % 2 == 1) & (F.col("_to") > F.col("_from")))
+        .select("zone_id", "_ty", F.explode(F.sequence("_from", F.col("_to") - 1)).alias("_tx"))
+        .withColumn("_odd", F.lit(1))
     )
-    crosses = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (
-        F.col("x")
-        < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
-        + F.col("x1")
+    inside = edge_tiles(edges, size).groupBy("zone_id", "_tx", "_ty").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges")
     )
-    return (
-        candidates.join(bands, ["zone_id", "_ty"])
-        .where(crosses)
-        .groupBy(point, "zone_id")
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") % 2 == 1)
-        .select(point, "zone_id")
+    keys = ["zone_id", "_tx", "_ty"]
+    return inside.join(odd, keys, "full").select(
+        *keys, F.coalesce("_odd", F.lit(0)).alias("_odd"), F.coalesce("_edges", F.array()).alias("_edges")
     )
 
 
+def _x_at(x1: Column, y1: Column, x2: Column, y2: Column, y: Column) -> Column:
+    return (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
+
+
+def _crossings(x: Column, y: Column, x0: Column, y0: Column) -> Column:
+    """Edges of the tile crossed on the way from its corner (x0, y0) up to the point's height, then
+    right to the point. A line through a corner of the ring meets one of its two edges: a point counts
+    as a little further right, and by much less further up."""
+
+    def crossed(e: Column) -> Column:
+        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+        at = _x_at(x1, y1, x2, y2, y)
+        right = ((y1 > y) != (y2 > y)) & (at > x0) & (at <= x)
+        rise = _x_at(y1, x1, y2, x2, x0)  # the same with the axes exchanged
+        climbs = ((y2 - y1) > 0) == ((x2 - x1) > 0)
+
+        def above(v: Column) -> Column:
+            return (rise > v) | ((rise == v) & climbs & (y2 != y1))
+
+        up = ((x1 > x0) != (x2 > x0)) & above(y0) & ~above(y)
+        return right.cast("int") + up.cast("int")
+
+    return F.aggregate("_edges", F.lit(0), lambda n, e: n + F.coalesce(crossed(e), F.lit(0)))
+
+
+def point_in_polygon(
+    points: DataFrame, edges: DataFrame, point: str, tile: float
+) -> DataFrame:
+    """(point, zone_id) for each polygon that contains a point, by the parity of crossings.
+
+    A point meets the zones of its own tile and their edges there, whatever the width of the zone: see
+    `tile_index`. The join is by tile; AQE splits a tile that holds many points."""
+    size = float(tile)
+    located = points.select(point, "x", "y", _slot(F.col("x"), size).alias("_tx"), _slot(F.col("y"), size).alias("_ty"))
+    n = F.col("_odd") + _crossings(F.col("x"), F.col("y"), F.col("_tx") * size, F.col("_ty") * size)
+    return located.join(tile_index(edges, size), ["_tx", "_ty"]).where(n % 2 == 1).select(point, "zone_id")
+
+
 def _segment_distance() -> Column:
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     length = dx * dx + dy * dy
@@ -76,18 +127,8 @@ def nearest_zone(
     inside = point_in_polygon(points, edges, point, tile).groupBy(point).agg(
         F.min("zone_id").alias("_inside")
     )
-    size = max(tile, distance)
-    reach = F.lit(float(distance))
-    near_edges = (
-        edges.withColumn(
-            "_tx",
-            F.explode(_slots(F.least("x1", "x2") - reach, F.greatest("x1", "x2") + reach, size)),
-        )
-        .withColumn(
-            "_ty",
-            F.explode(_slots(F.least("y1", "y2") - reach, F.greatest("y1", "y2") + reach, size)),
-        )
-    )
+    size = float(max(tile, distance))
+    near_edges = edge_tiles(edges, size, distance)
     outside = points.select(point, "x", "y").join(inside, point, "left_anti").select(
         point, "x", "y", _slot(F.col("x"), size).alias("_tx"), _slot(F.col("y"), size).alias("_ty")
     )
@@ -112,18 +153,8 @@ def cells_intersecting(
 ) -> DataFrame:
     """Square cells (side 2 x half around a centre) that touch an area: an edge enters the square,
     or the centre is inside the area."""
-    size = max(tile, half)
-    reach = F.lit(float(half))
-    near = (
-        edges.withColumn(
-            "_tx",
-            F.explode(_slots(F.least("x1", "x2") - reach, F.greatest("x1", "x2") + reach, size)),
-        )
-        .withColumn(
-            "_ty",
-            F.explode(_slots(F.least("y1", "y2") - reach, F.greatest("y1", "y2") + reach, size)),
-        )
-    )
+    size = float(max(tile, half))
+    near = edge_tiles(edges, size, half)
     located = centres.select(
         cell, "x", "y", _slot(F.col("x"), size).alias("_tx"), _slot(F.col("y"), size).alias("_ty")
     )
@@ -147,6 +178,64 @@ def cells_intersecting(
     return crossed.unionByName(point_in_polygon(centres, edges, cell, tile)).distinct()
 
 
+def cell_coverage(edges: DataFrame, size: float) -> DataFrame:
+    """(zone_id, ix, iy, surface): exact area of each zone in each square cell of side `size`, for cells
+    with a positive one. Rings are directed, holes the other way round from outlines.
+
+    An edge is cut at the borders of rows and columns. Right of each piece, inside its row, the zone gains
+    (or loses) the height of the piece: in the piece's own cell a trapezoid, in every further cell the
+    whole width. So the areas are sums over pieces, and a running sum of heights along each row."""
+    s = float(size)
+    rows = edges.withColumn("iy", F.explode(_slots(F.least("y1", "y2"), F.greatest("y1", "y2"), s))).where("y1 != y2")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+
+    def clip(v: Column, low: Column, high: Column) -> Column:
+        return F.greatest(low, F.least(high, v))
+
+    bottom, top = F.col("iy") * s, (F.col("iy") + 1) * s
+    ya, yb = clip(F.col("y1"), bottom, top), clip(F.col("y2"), bottom, top)
+    pieces = (
+        rows.withColumn("_ya", ya).withColumn("_yb", yb).where("_ya != _yb")
+        .withColumn("_xa", F.col("x1") + (F.col("_ya") - F.col("y1")) / dy * dx)
+        .withColumn("_xb", F.col("x1") + (F.col("_yb") - F.col("y1")) / dy * dx)
+        .withColumn("ix", F.explode(_slots(F.least("_xa", "_xb"), F.greatest("_xa", "_xb"), s)))
+    )
+    left, right = F.col("ix") * s, (F.col("ix") + 1) * s
+    width = F.nullif(F.col("_xb") - F.col("_xa"), F.lit(0.0))
+
+    def height(x: Column, end: Column) -> Column:
+        """Height of the piece at `x`; `end` for an upright one."""
+        return F.coalesce(F.col("_ya") + (x - F.col("_xa")) / width * (F.col("_yb") - F.col("_ya")), end)
+
+    xa, xb = clip(F.col("_xa"), left, right), clip(F.col("_xb"), left, right)
+    fall = height(xa, F.col("_ya")) - height(xb, F.col("_yb"))
+    row = Window.partitionBy("zone_id", "iy").orderBy("ix")
+    cells = (
+        pieces.select("zone_id", "ix", "iy", fall.alias("_h"), (fall * (right - (xa + xb) / 2)).alias("_a"))
+        .groupBy("zone_id", "ix", "iy").agg(F.sum("_h").alias("_h"), F.sum("_a").alias("_a"))
+        .withColumn("_before", F.coalesce(F.sum("_h").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+        .withColumn("_next", F.coalesce(F.lead("ix").over(row), F.col("ix") + 1))
+    )
+    # the cell of the pieces, then the cells up to the next one, which no edge enters
+    run = F.when(F.abs(F.col("_before") + F.col("_h")) > s * 1e-9, F.sequence("ix", F.col("_next") - 1)).otherwise(F.array("ix"))
+    spread = cells.withColumn("_x", F.explode(run)).select(
+        "zone_id", F.col("_x").alias("ix"), "iy",
+        F.when(F.col("_x") == F.col("ix"), F.col("_before") * s + F.col("_a")).otherwise((F.col("_before") + F.col("_h")) * s).alias("surface"),
+    )
+    turn = spread.groupBy("zone_id").agg(F.signum(F.sum("surface")).alias("_turn"))
+    return (
+        spread.join(turn, "zone_id").withColumn("surface", F.col("surface") * F.col("_turn"))
+        .where(F.col("surface") > s * s * 1e-12).drop("_turn")
+    )
+
+
+def coverage_weights(coverage: DataFrame) -> DataFrame:
+    """`coverage` with `poids`, the cell's share of its zone; the weights of a zone add up to 1. The shares
+    come from an aggregate joined back: a zone may have any number of cells."""
+    total = coverage.groupBy("zone_id").agg(F.sum("surface").alias("_total"))
+    return coverage.join(total, "zone_id").withColumn("poids", F.col("surface") / F.col("_total")).drop("_total")
+
+
 def overlay_surface(a: DataFrame, b: DataFrame, cell_area: float) -> DataFrame:
     """Area shared by the parts of two partitions laid on one fine grid. `a` and `b` have id, ix,
     iy."""
