@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.columns import free_name
 from sluice.llm.quality_rules import let
 from sluice.session import cut_lineage
 
@@ -154,5 +155,6 @@ def benchmark_leaks(
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose document holds no window of an item; their columns as they are."""
-    leaks = benchmark_leaks(docs, items, id_col, text_col).select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col("_leak")), "left_anti")
+    mark = free_name(docs, "leak")
+    leaks = benchmark_leaks(docs, items, id_col, text_col).select(F.col(id_col).alias(mark)).distinct()
+    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col(mark)), "left_anti")

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words as W
+from sluice.llm.columns import free_name
 from sluice.operators.components import connected_components
 from sluice.session import cut_lineage
 
@@ -339,7 +340,8 @@ def _bucket_pairs(threshold: Fraction, forest: bool):
 
 
 PACKED = "shard int, keys binary, nodes binary, counts binary"
-FLUSH = 2_000_000  # keys a task holds before it sends them on
+FLUSH = 400_000  # keys a task holds before it sends them on
+SHARD = 2_000_000  # n-grams to a shard of keys: there are fewer keys than n-grams
 DEALT = 10_000  # further nodes in a row
 
 
@@ -419,9 +421,10 @@ def _shared_keys(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     )
 
 
-def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(key, pivot, node, held) of `nodes` (node, keys): the nodes of every key of two or more."""
-    shards = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def bucket_members(nodes: DataFrame, grams: int = 0) -> DataFrame:
+    """(key, pivot, node, held) of `nodes` (node, keys): the nodes of every key of two or more. `grams`
+    is the number of n-grams of all nodes; the shards grow with it, not with what a task holds."""
+    shards = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-grams // SHARD))
     packed = nodes.select("node", "keys").mapInArrow(_pack_keys(shards), PACKED)
     found = cut_lineage(
         packed.groupBy("shard").applyInArrow(_shared_keys, "key long, pivot long, node long, held long")
@@ -504,22 +507,19 @@ def _more_links(
     )
 
 
-def ngram_jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9"
-) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of `docs`: the size of its set of word n-grams
-    and the smallest id reachable by links (Jaccard similarity of the sets >= `threshold`).
-
-    Repeated rows and rows with equal sets share a component. A row without words (or without text)
-    has an empty set and is its own component. Rows whose id is null take part; they get the
-    smallest id that is not null of their component, or null. Columns besides the two are not read.
-    """
+def _components(
+    docs: DataFrame, id_col: str, text_col: str, n: int, threshold: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, components): each row of `docs` with its id, text_hash, n_shingles and the signature of its
+    set, and for each signature the first (unknown, id, text_hash, row) of its component."""
     limit = Fraction(threshold)
+    if limit * Fraction(str(CLASS_RATIO)) < 1:
+        raise ValueError(f"a threshold under {1 / CLASS_RATIO:.2f} would lose links: linked sets may share no size class")
     rows = cut_lineage(signatures(docs, id_col, text_col, n).withColumn("row", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "row")).alias("first")
     nodes = (
-        rows.where("n_shingles > 0").groupBy("sig_a", "sig_b").agg(first)
-        .select("sig_a", "sig_b", F.col("first.row").alias("node"), F.col("first.id").alias("least"), "first.text_hash")
+        rows.where("n_shingles > 0").groupBy("sig_a", "sig_b").agg(first, F.max("n_shingles").alias("n_shingles"))
+        .select("sig_a", "sig_b", "n_shingles", F.col("first.row").alias("node"), F.col("first.id").alias("least"), "first.text_hash", "first")
     )
     nodes = cut_lineage(nodes)
     # a struct is a key that takes null ids as equal
@@ -528,7 +528,8 @@ def ngram_jaccard_components(
     ).dropDuplicates(["_key", "text_hash"])
     wanted = nodes.select("node", F.struct(F.col("least").alias("id")).alias("_key"), "text_hash")
     texts = cut_lineage(by_row.join(wanted, ["_key", "text_hash"]).select("node", "text"))
-    members = cut_lineage(bucket_members(bucket_keys(texts, n, limit)))
+    grams = nodes.agg(F.sum("n_shingles").alias("n")).first().n or 0
+    members = cut_lineage(bucket_members(bucket_keys(texts, n, limit), grams))
     points = cut_lineage(set_points(texts, n))
 
     star = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -543,13 +544,50 @@ def ngram_jaccard_components(
     labels = labels.withColumnRenamed("label", "component")
 
     grouped = nodes.join(labels, "node", "left").select(
-        "sig_a", "sig_b", "least", F.coalesce("component", "node").alias("component")
+        "sig_a", "sig_b", "first", F.coalesce("component", "node").alias("component")
     )
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    grouped = grouped.join(least, "component").select("sig_a", "sig_b", "component_id")
-    return rows.select("id", "n_shingles", "sig_a", "sig_b").join(
-        grouped, ["sig_a", "sig_b"], "left"
-    ).select(
+    least = grouped.groupBy("component").agg(F.min("first").alias("top"))
+    return rows, grouped.join(least, "component").select("sig_a", "sig_b", "top")
+
+
+def ngram_jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: str = "0.9"
+) -> DataFrame:
+    """(id, n_shingles, component_id) for every row of `docs`: the size of its set of word n-grams
+    and the smallest id reachable by links (Jaccard similarity of the sets >= `threshold`).
+
+    Repeated rows and rows with equal sets share a component. A row without words (or without text)
+    has an empty set and is its own component. Rows whose id is null take part; they get the
+    smallest id that is not null of their component, or null. Columns besides the two are not read.
+    """
+    rows, found = _components(docs, id_col, text_col, n, threshold)
+    return rows.select("id", "n_shingles", "sig_a", "sig_b").join(found, ["sig_a", "sig_b"], "left").select(
         F.col("id").alias(id_col), "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.col("top.id")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: str = "0.8"
+) -> DataFrame:
+    """Of the rows of a component only the first stays: the smallest id (null last), then the smallest
+    hash of the text; of equal rows one. A row goes for its own text: another row of its id, with another
+    text, is not touched. Rows without words are no duplicates and stay, repeated ones too. All columns
+    of `docs` are kept, whatever their names.
+
+    Only what goes is joined to the texts: the (id, hash) of rows that are not the first, and of rows
+    that repeat a first."""
+    rows, found = _components(docs, id_col, text_col, n, threshold)
+    own = F.struct(F.col("id").alias("id"), "text_hash")
+    placed = rows.where("n_shingles > 0").join(found, ["sig_a", "sig_b"]).select(
+        own.alias("own"), F.struct(F.col("top.id").alias("id"), F.col("top.text_hash").alias("text_hash")).alias("top")
     )
+    gone = cut_lineage(placed.where("own != top").select("own").distinct())
+    again = cut_lineage(placed.where("own = top").groupBy("own").agg(F.count("*").alias("n")).where("n > 1").select("own"))
+    mark = free_name(docs, "own")
+    marked = docs.withColumn(mark, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash")))
+    kept = marked.join(gone.withColumnRenamed("own", mark), mark, "left_anti")
+    again = again.withColumnRenamed("own", mark)
+    single = kept.join(again, mark, "left_anti")
+    first = kept.join(again, mark, "left_semi").dropDuplicates([mark])
+    return single.unionByName(first).select(*docs.columns)

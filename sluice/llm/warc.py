@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import cut_lineage
+
 END = "\r\n\r\n"
 RECORDS_PER_FILE = 3_000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -24,15 +26,20 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 def base32_sha1(payload: Column) -> Column:
     """SHA-1 as 32 letters of base 32: five hex digits are four letters."""
-    digest = F.sha1(payload)
 
-    def letters(i: Column) -> Column:
-        value = F.conv(F.substring(digest, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
+    def letters(value: Column) -> Column:
         return F.concat(
             *[F.substring(F.lit(BASE32), F.shiftright(value, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), letters), "")
+    def text(digest: Column) -> Column:
+        parts = F.transform(
+            F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(digest, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
+        )
+        return F.array_join(F.transform(parts, letters), "")
+
+    # the digest is an element of an array, so that it is computed once
+    return F.get(F.transform(F.array(F.sha1(payload)), text), F.lit(0))
 
 
 def record_id(kind: str, capture: Column) -> Column:
@@ -41,11 +48,13 @@ def record_id(kind: str, capture: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
-def _record(kind: str, own: Column, uri: Column, block: Column, *more: Column) -> Column:
+def _record(kind: str, own: Column, uri: Column, block: list[Column], *more: Column) -> Column:
+    """A record; the parts of its block are only joined into the whole."""
+    length = sum((F.octet_length(b) for b in block[1:]), F.octet_length(block[0]))
     head = [
         F.lit(f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Record-ID: "), own,
         F.lit("\r\nWARC-Target-URI: "), uri, *more,
-        F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(END), block,
+        F.lit("\r\nContent-Length: "), length.cast("string"), F.lit(END), *block,
     ]
     return F.concat(*head)
 
@@ -68,7 +77,8 @@ def archive_records(
         .where(~F.col("id").eqNullSafe(F.col("top.id")))
         .select("capture", F.col("top.capture").alias("first"))
     )
-    rows = base.drop("hash").join(again, "capture", "left")
+    # written, so that the join sees its size: while the copies are few, pages are not shuffled
+    rows = base.drop("hash").join(cut_lineage(again), "capture", "left")
     digest = F.concat(F.lit("\r\nWARC-Payload-Digest: sha1:"), base32_sha1(F.col("html")))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -78,20 +88,20 @@ def archive_records(
     tied = F.concat(F.lit("\r\nWARC-Concurrent-To: "), own)
     uri = F.col("uri")
     kind_http = F.lit("\r\nContent-Type: application/http;msgtype=response")
-    response = _record("response", own, uri, F.concat(http, F.col("html")), digest, kind_http)
+    response = _record("response", own, uri, [http, F.col("html")], digest, kind_http)
     revisit = _record(
-        "revisit", own, uri, http, digest, kind_http,
+        "revisit", own, uri, [http], digest, kind_http,
         F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
         F.lit("\r\nWARC-Refers-To: "), record_id("page", F.col("first")),
     )
     request = _record(
-        "request", record_id("request", F.col("capture")), uri, F.concat(F.lit("GET "), uri, F.lit(" HTTP/1.1" + END)),
+        "request", record_id("request", F.col("capture")), uri, [F.lit("GET "), uri, F.lit(" HTTP/1.1" + END)],
         tied, F.lit("\r\nContent-Type: application/http;msgtype=request"),
     )
     page = F.col("id").cast("string")
     facts = F.coalesce(F.concat(F.lit("page_id: "), page, F.lit("\r\n")), F.lit(""))
     metadata = _record(
-        "metadata", record_id("metadata", F.col("capture")), uri, facts, tied,
+        "metadata", record_id("metadata", F.col("capture")), uri, [facts], tied,
         F.lit("\r\nContent-Type: application/warc-fields"),
     )
     three = F.array(request, F.when(F.col("first").isNull(), response).otherwise(revisit), metadata)
@@ -102,6 +112,7 @@ def write_archives(pages: DataFrame, folder: str, **names) -> None:
     """Archives of `pages` as gzip files of some thousand records each."""
     (
         archive_records(pages, **names).write.option("lineSep", END).option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
     )
 
@@ -196,7 +207,8 @@ def archived_pages(pages: DataFrame, folder: str, id_col: str = "page_id", **nam
     stands for). Null html is an empty payload; repeated rows are captures of their own, responses
     all if their id is the largest; a null id revisits and never is revisited unless alone."""
     write_archives(pages, folder, id_col=id_col, **names)
-    captures = assemble(read_archives(pages.sparkSession, folder, payloads=False))
+    # without payloads the records are small; written once, archives are not parsed for each kind
+    captures = assemble(cut_lineage(read_archives(pages.sparkSession, folder, payloads=False)))
     kind = pages.schema[id_col].dataType.simpleString()
     rows = captures.select(
         "capture", F.col("metadata.page").cast(kind).alias(id_col), F.col("response.payload_bytes").alias("payload_bytes"),
