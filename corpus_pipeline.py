@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.decontaminate import drop_leaks
-from sluice.llm.jaccard_join import ngram_jaccard_components
+from sluice.llm.jaccard_join import drop_near_duplicates
 from sluice.llm.packing import pack_documents
 from sluice.llm.quality_rules import keep_good
 from sluice.llm.queries import table, vocabulary
@@ -26,14 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the document of the smallest
-    id. Documents without words, and those without an id, are no duplicates."""
-    found = ngram_jaccard_components(docs, n=5, threshold="0.8")
-    others = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
-    # rows that repeat an id are copies of it: one stays
-    known, unknown = kept.where("doc_id IS NOT NULL"), kept.where("doc_id IS NULL")
-    return known.dropDuplicates(["doc_id"]).unionByName(unknown)
+    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the first row: smallest id,
+    null last, and of one id the smallest hash of the text. Rows without words are no duplicates."""
+    return drop_near_duplicates(docs, n=5, threshold="0.8")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
