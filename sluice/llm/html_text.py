@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import html as htmllib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -59,8 +60,10 @@ COMMENTS = set("comment comments reply replies disqus respond reviews".split())
 WRAPPERS = {"html", "body", "main"}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
 )
+_UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_START = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -101,10 +104,18 @@ def _why_dropped(tag: str, attributes: dict[str, str], inside_article: bool) ->
 
 def parse(page: str) -> tuple[list[Element], list]:
     """Elements in order of their start, and items: texts, +i and -i - 1 where element i begins and
-    ends. Open paragraphs, list items and cells are closed where HTML closes them."""
+    ends. Open paragraphs, list items and cells are closed where HTML closes them.
+
+    Time is linear in the page: open elements are found by their tag, and no part is scanned twice. After
+    a tag whose quotes or end never come, quotes protect nothing any more; after the last `>` all is text."""
     elements: list[Element] = [Element("#page", -1)]
     items: list = []
     stack = [0]
+    open_at: dict[str, list[int]] = defaultdict(list)  # places in the stack of the open elements of a tag
+    blocks: list[int] = []  # and of those of blocks
+
+    def innermost(tags) -> int:
+        return max((open_at[t][-1] for t in tags if open_at[t]), default=0)
 
     def text(t: str) -> None:
         if t:
@@ -115,6 +126,10 @@ def parse(page: str) -> tuple[list[Element], list]:
         while len(stack) > depth:
             i = stack.pop()
             e = elements[i]
+            if i:
+                open_at[e.tag].pop()
+                if e.tag in BLOCKS:
+                    blocks.pop()
             e.end = len(items)
             joined = " ".join("\0".join(p for p in e.parts if isinstance(p, str)).split())
             inner = [p for p in e.parts if not isinstance(p, str)]
@@ -126,9 +141,13 @@ def parse(page: str) -> tuple[list[Element], list]:
             if stack:
                 elements[stack[-1]].parts.append(i)
 
-    at, size = 0, len(page)
+    at, size, token = 0, len(page), _TOKEN
     while at < size:
-        m = _TOKEN.search(page, at)
+        start = _START.search(page, at)
+        m = token.match(page, start.start()) if start else None
+        if start and not m and token is _TOKEN:
+            token = _UNQUOTED
+            m = token.match(page, start.start())
         if not m:
             text(page[at:])
             break
@@ -138,36 +157,29 @@ def parse(page: str) -> tuple[list[Element], list]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if elements[stack[depth]].tag == tag:
-                    close(depth)
-                    break
+            if open_at[tag]:
+                close(open_at[tag][-1])
             continue
         if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                name = elements[stack[depth]].tag
-                if name == "p":
-                    close(depth)
-                    break
-                if name in BLOCKS:
-                    break
+            depth = innermost(["p"])
+            if depth and depth >= (blocks[-1] if blocks else 0):
+                close(depth)
         if tag in CLOSED_BY:
             ends, bars = CLOSED_BY[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                name = elements[stack[depth]].tag
-                if name in bars:
+            while (depth := innermost(ends)) > innermost(bars):
+                close(depth)
+                if tag not in ("tr", "tbody", "tfoot"):
                     break
-                if name in ends:
-                    close(depth)
-                    if tag not in ("tr", "tbody", "tfoot"):
-                        break
         attributes = _attributes(m[3]) if m[3].strip(" /\n\t") else {}
-        inside = any(elements[i].tag in ("article", "main") for i in stack)
+        inside = bool(open_at["article"] or open_at["main"])
         i = len(elements)
         elements.append(
             Element(tag, stack[-1], _why_dropped(tag, attributes, inside), f"{attributes.get('class', '')}#{attributes.get('id', '')}", len(items))
         )
         items.append(i)
+        open_at[tag].append(len(stack))
+        if tag in BLOCKS:
+            blocks.append(len(stack))
         stack.append(i)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW:
             close(len(stack) - 1)

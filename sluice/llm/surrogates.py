@@ -151,12 +151,15 @@ def _luhn(digits: str) -> int:
 
 
 def draw_surrogate(key: str, kind: str, value: str, attempt: int) -> str:
-    """Surrogate of a canonical value, in canonical form."""
+    """Surrogate of a canonical value, in canonical form. Names and mailboxes grow with the attempt, so
+    that there are always enough; the other kinds have a fixed format."""
+    longer = attempt // 3
     draw = _Stream(key, kind, value, str(attempt))
     if kind == "email":
         local, _, domain = value.partition("@")
         labels = domain.split(".")
-        return f"{_like(local, draw)}@{'.'.join(_like(x, draw) for x in labels[:-1])}.{labels[-1]}"
+        more = "".join(ALPHABETS["latin"][draw.below(26)] for _ in range(longer))
+        return f"{_like(local, draw)}{more}@{'.'.join(_like(x, draw) for x in labels[:-1])}.{labels[-1]}"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "phone":
@@ -177,7 +180,7 @@ def draw_surrogate(key: str, kind: str, value: str, attempt: int) -> str:
             sex = "fm"[draw.below(2)]
         words = name.split()
         given = GIVEN[sex, kind_]
-        last = "".join(SYLLABLES[kind_][draw.below(len(SYLLABLES[kind_]))] for _ in range(2 + draw.below(3)))
+        last = "".join(SYLLABLES[kind_][draw.below(len(SYLLABLES[kind_]))] for _ in range(2 + longer + draw.below(3)))
         return " ".join(([given[draw.below(len(given))].lower()] if len(words) > 1 else []) + [last])
     return _like(value, draw)
 
@@ -227,9 +230,14 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+ATTEMPTS = 64  # with half of a format free, one in 2**64 entities is not placed by then
+
+
 def surrogate_table(found: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, value, surrogate) of the distinct entities of `found` (kind, value): no surrogate
-    twice for a kind, and none that is an entity of the kind."""
+    twice for a kind, and none that is an entity of the kind. Ties go to the earlier attempt, then the
+    smaller value; repeated rows are one entity; an empty table gives none. A fixed format without room
+    for all its entities is a ValueError."""
 
     @F.pandas_udf(StringType())
     def drawn(kind: pd.Series, value: pd.Series, attempt: pd.Series) -> pd.Series:
@@ -243,6 +251,7 @@ def surrogate_table(found: DataFrame, key: str = KEY) -> DataFrame:
     table = cut_lineage(
         known.withColumn("attempt", F.lit(0)).withColumn("surrogate", drawn("kind", "value", "attempt"))
     )
+    attempts = 0
     while True:
         first = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
         judged = table.join(first, ["kind", "surrogate"]).join(originals, ["kind", "surrogate"], "left")
@@ -252,6 +261,10 @@ def surrogate_table(found: DataFrame, key: str = KEY) -> DataFrame:
             return judged.select("kind", "value", "surrogate")
         # those that stay keep their attempt, so they come before the new draws of a later one
         later = F.col("attempt") + 1
+        attempts += 1
+        if attempts > ATTEMPTS:
+            full = sorted(r.kind for r in judged.where("again").select("kind").distinct().collect())
+            raise ValueError(f"no room for surrogates of kind {', '.join(full)} that are free and distinct")
         table = cut_lineage(
             judged.where(~F.col("again")).select("kind", "value", "attempt", "surrogate").unionByName(
                 judged.where("again").select("kind", "value", later.alias("attempt")).withColumn(
