@@ -141,6 +141,19 @@ def _(t: Tables):
     return grid.dilate_cells(codes(t).where("p_size = 1"), [], 2, tile=16)
 
 
+@query(
+    "distance_steps",
+    with_sql(
+        """SELECT (ix + dx)::INT AS ix, (iy + dy)::INT AS iy, min(abs(dx) + abs(dy))::INT AS distance
+           FROM codes, (SELECT unnest(range(-7, 8)) AS dx), (SELECT unnest(range(-7, 8)) AS dy)
+           WHERE p_size = 1 AND abs(dx) + abs(dy) <= 7 GROUP BY 1, 2""",
+        CODES,
+    ),
+)
+def _(t: Tables):
+    return grid.distance_transform(codes(t).where("p_size = 1"), [], 7)
+
+
 @query(
     "layered_exclusion",
     with_sql(

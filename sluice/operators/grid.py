@@ -2,14 +2,15 @@
 
 Pixels are grouped by image and square tile. A pixel near an edge is also sent to the tile next
 door, so one shuffle of about the table's own size gives every tile its halo; spreading to the
-neighbours and the aggregate that follows stay inside the tile's task.
+neighbours and the aggregate that follows stay inside the tile's task. Distances to a mask need no
+tiles: they go along columns, then along rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = 256
@@ -66,28 +67,56 @@ def erode_cells(cells: DataFrame, label: str, tile: int = TILE) -> DataFrame:
     )
 
 
-def dilate_cells(cells: DataFrame, image: Sequence[str], steps: int, tile: int = TILE) -> DataFrame:
-    """Mask grown by `steps` steps to the four neighbours: all cells at most that many steps away,
-    in one pass."""
-    image = list(image)
-    offsets = F.sequence(F.lit(-steps), F.lit(steps))
-    sent = spread(
-        cells.select(*image, "ix", "iy").distinct(),
-        image,
-        F.transform(offsets, lambda d: F.col("ix") + d),
-        F.transform(offsets, lambda d: F.col("iy") + d),
-        steps,
-        tile,
+def _nearest_along(cells: DataFrame, line: Sequence[str], place: str, limit: int) -> DataFrame:
+    """Least `distance` plus steps along `place` to any cell of the line, for every place where that
+    is at most `limit`. A place is emitted once, by the cell before it, from running minima of both
+    directions; repeated cells are one. The windows hold one line of an image."""
+    forth = Window.partitionBy(*line).orderBy(place)
+    back = Window.partitionBy(*line).orderBy(F.col(place).desc())
+    known = (
+        cells.withColumn("_back", F.min(F.col("distance") + F.col(place)).over(back))
+        .withColumn("_forth", F.min(F.col("distance") - F.col(place)).over(forth))
+        .withColumn("_next", F.lead(place).over(forth))
+        .withColumn("_next_back", F.lead("_back").over(forth))
+        .withColumn("_first", F.lag(place).over(forth).isNull())
     )
-    near = F.abs(F.col("qx") - F.col("ix")) + F.abs(F.col("qy") - F.col("iy")) <= steps
-    return (
-        sent.where(near)
-        .groupBy(*cell_keys(image))
-        .agg(F.lit(1).alias("_"))
-        .select(*image, F.col("qx").alias("ix"), F.col("qy").alias("iy"))
+
+    def places(low: Column, high: Column) -> Column:
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<long>"))
+
+    here, after = F.col(place).cast("long"), F.col("_next").cast("long") - 1
+    reach = limit - F.col("_forth").cast("long")  # as far as the cells up to this one go
+    ahead = F.col("_next_back").cast("long") - limit  # from here on the next ones do
+    at = F.concat(
+        F.when(F.col("_first"), places(F.col("_back").cast("long") - limit, here - 1)).otherwise(F.array().cast("array<long>")),
+        places(here, F.least(reach, after)),
+        F.coalesce(places(F.greatest(reach + 1, ahead), after), F.array().cast("array<long>")),
+    )
+    steps = F.when(F.col("_at") < here, F.col("_back") - F.col("_at")).otherwise(
+        F.least(F.col("_forth") + F.col("_at"), F.col("_next_back") - F.col("_at"))
+    )
+    other = [c for c in cells.columns if c not in (place, "distance")]
+    return known.withColumn("_at", F.explode(at)).select(
+        *other, F.col("_at").cast(cells.schema[place].dataType).alias(place), steps.cast("int").alias("distance")
     )
 
 
+def distance_transform(cells: DataFrame, image: Sequence[str], limit: int) -> DataFrame:
+    """Cells at most `limit` steps to the four neighbours away from a mask, with the number of steps
+    (`distance`, 0 in the mask): along columns first, then along rows. Each pass is one shuffle and
+    gives no more rows than the result has, whatever the limit. A mask without cells gives none."""
+    image = list(image)
+    mask = cells.select(*image, "ix", "iy", F.lit(0).alias("distance"))
+    columns = _nearest_along(mask, [*image, "ix"], "iy", limit)
+    return _nearest_along(columns, [*image, "iy"], "ix", limit).select(*image, "ix", "iy", "distance")
+
+
+def dilate_cells(cells: DataFrame, image: Sequence[str], steps: int, tile: int = TILE) -> DataFrame:
+    """Mask grown by `steps` steps to the four neighbours: all cells at most that many steps away.
+    Lines need no tiles; `tile` is taken as by `erode_cells` and changes nothing."""
+    return distance_transform(cells, image, steps).drop("distance")
+
+
 def align_grid(points: DataFrame, x: str, y: str, resolution: float) -> DataFrame:
     """Smallest grid on multiples of the resolution that covers all points: xmin, ymax, width,
     height."""
