@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import calendar as cal
-from sluice.functions.ranking import group_auc
-from sluice.functions.stats import classify
+from sluice.functions.stats import CLASS_LIMITS
 
 
 def series_concordance(
@@ -28,8 +29,8 @@ def series_concordance(
     )
 
 
-def weight_grid(components: Sequence[str], step: float = 0.05) -> Column:
-    """All combinations of weights on a step that sum to 1, as an array of structs."""
+def weight_combinations(k: int, step: float = 0.05) -> list[tuple[float, ...]]:
+    """All combinations of k weights on a step that sum to 1."""
     n = round(1 / step)
 
     def combos(left: int, k: int) -> list[tuple[int, ...]]:
@@ -37,12 +38,25 @@ def weight_grid(components: Sequence[str], step: float = 0.05) -> Column:
             return [(left,)]
         return [(i, *rest) for i in range(left + 1) for rest in combos(left - i, k - 1)]
 
-    return F.array(
-        *[
-            F.struct(*[F.lit(i / n).alias(c) for c, i in zip(components, combo, strict=True)])
-            for combo in combos(n, len(components))
-        ]
-    )
+    return [tuple(i / n for i in combo) for combo in combos(n, k)]
+
+
+def _weighted_mean(parts: Sequence[np.ndarray], there: Sequence[np.ndarray], weights: Sequence[float]):
+    """(means, where there is one) of the components that are there."""
+    top = bottom = np.zeros(len(parts[0]))
+    for x, known, w in zip(parts, there, weights, strict=True):
+        top = top + np.where(known, w * x, 0.0)
+        bottom = bottom + np.where(known, w, 0.0)
+    known = bottom != 0
+    return top / np.where(known, bottom, 1.0), known
+
+
+def _pairs_won(values: np.ndarray, positive: np.ndarray) -> float:
+    """Pairs in which the positive row has the lower value, ties for one half."""
+    distinct, code = np.unique(values, return_inverse=True)
+    n1 = np.bincount(code, positive, len(distinct))
+    n0 = np.bincount(code, ~positive, len(distinct))
+    return float(np.sum(n0 * (np.cumsum(n1) - n1) + n0 * n1 / 2))
 
 
 def weight_sweep(
@@ -55,39 +69,50 @@ def weight_sweep(
 ) -> DataFrame:
     """Per zone, period and combination of weights: AUC of the composite, share of weeks whose
     class changes against the current weights, and the number of combinations of the zone within
-    0.01 of the best. `table` has zone_id, semaine and one column per component; missing
-    components are left out and the weights renormalised. The combinations are generated inside
-    each row; zone-weeks are bounded by the calendar."""
-
-    def mean(weight) -> Column:
-        top = bottom = F.lit(0.0)
-        for c in components:
-            there = F.col(c).isNotNull()
-            top = top + F.when(there, weight(c) * F.col(c)).otherwise(0.0)
-            bottom = bottom + F.when(there, weight(c)).otherwise(0.0)
-        return top / F.nullif(bottom, F.lit(0.0))
-
-    keys = ["zone_id", "periode", *[f"w_{c}" for c in components]]
-    rows = (
-        table.withColumn("_now", classify(mean(lambda c: F.lit(current[c]))))
-        .withColumn("_alert", positive)
-        .withColumn("periode", period)
-        .withColumn("_w", F.explode(weight_grid(components, step)))
-        .withColumn("_value", mean(lambda c: F.col("_w")[c]))
-        .select(
-            "zone_id", "periode", *[F.col("_w")[c].alias(f"w_{c}") for c in components], "_alert",
-            "_value", (classify(F.col("_value")) != F.col("_now")).cast("int").alias("_changed"),
-        )
-    )
-    scores = group_auc(rows, keys, "_value", F.col("_alert"))
-    changed = rows.groupBy(*keys).agg(F.avg("_changed").alias("part_changee"))
-    zone = Window.partitionBy("zone_id", "periode")  # as many rows as combinations of weights
-    return (
-        scores.join(changed, keys)
-        .withColumn("_best", F.max("auc").over(zone))
-        .withColumn("n_proches", F.count_if(F.col("auc") >= F.col("_best") - 0.01).over(zone))
-        .drop("_best")
+    0.01 of the best. `table` has zone_id, semaine and one column per component, one row per zone and
+    week; missing components are left out and the weights renormalised. Only these rows are
+    shuffled: the weeks of a zone and period, bounded by the calendar, are ranked under all
+    combinations inside their task. Weeks without a level count in the share alone; combinations
+    without any value have no row."""
+    grid = weight_combinations(len(components), step)
+    now = [current[c] for c in components]
+    rows = table.select(
+        "zone_id", period.alias("periode"), positive.alias("_alert"), *[F.col(c).cast("double").alias(c) for c in components]
     )
+    limits = np.array(CLASS_LIMITS)
+
+    def sweep(weeks: pa.Table) -> pa.Table:
+        columns = [weeks[c].combine_chunks() for c in components]
+        there = [c.is_valid().to_numpy(zero_copy_only=False) for c in columns]
+        parts = [c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in columns]
+        alert = weeks["_alert"].combine_chunks()
+        judged = alert.is_valid().to_numpy(zero_copy_only=False)
+        alert = alert.fill_null(False).to_numpy(zero_copy_only=False)
+        before, had = _weighted_mean(parts, there, now)
+        before = np.searchsorted(limits, before)
+        out = []
+        for weights in grid:
+            value, known = _weighted_mean(parts, there, weights)
+            if not known.any():
+                continue
+            mine, both = known & judged, known & had
+            n1, n0 = int(np.sum(alert & mine)), int(np.sum(~alert & mine))
+            auc = _pairs_won(value[mine], alert[mine]) / (n1 * n0) if n1 and n0 else None
+            changed = np.searchsorted(limits, value[both]) != before[both]
+            out.append((*weights, n1, n0, auc, float(changed.mean()) if both.any() else None))
+        best = max((r[-2] for r in out if r[-2] is not None), default=None)
+        near = sum(r[-2] is not None and r[-2] >= best - 0.01 for r in out)
+        first = weeks.slice(0, 1).select(["zone_id", "periode"])
+        made = pa.Table.from_pylist(
+            [dict(zip(names, (*r, near))) for r in out], pa.schema([(n, pa.int64() if n.startswith("n_") else pa.float64()) for n in names])
+        )
+        keys = first.take(pa.array(np.zeros(len(out), np.int64)))
+        return pa.table([*keys.columns, *made.columns], names=[*keys.column_names, *names])
+
+    names = [*[f"w_{c}" for c in components], "n_positive", "n_negative", "auc", "part_changee", "n_proches"]
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("zone_id", "periode")}
+    schema = ", ".join([f"{c} {k}" for c, k in kinds.items()] + [f"`{n}` {'long' if n.startswith('n_') else 'double'}" for n in names])
+    return rows.groupBy("zone_id", "periode").applyInArrow(sweep, schema)
 
 
 def seasonal_extremes(
