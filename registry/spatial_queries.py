@@ -7,6 +7,7 @@ from registry.core import Tables, nation_id, query, r6, s6, with_sql
 from registry.landcover_queries import CODES, codes
 from registry.optical_queries import rounded
 from sluice.operators import grid
+from sluice.operators import outlines as ol
 from sluice.operators import spatial as sp
 
 # Diamond of half-width 900 + 20 x key around (2000 x (key % 5), 2000 x (key / 5))
@@ -130,6 +131,35 @@ def _(t: Tables):
     return sp.dissolve(footprint, "code").groupBy("code").agg(F.count("*").alias("n"))
 
 
+# Cells of the parts shipped with each flag and status in each month of the year: some of all, with holes, at any size
+SHIPPED = """shipped AS (SELECT DISTINCT l_returnflag || '-' || l_linestatus || '-' || month(l_shipdate)::VARCHAR AS code, l_partkey % 64 AS ix, l_partkey // 64 AS iy FROM lineitem),
+sides AS (SELECT code, unnest([ix, ix, ix + 1, ix]) AS x, unnest([iy, iy, iy, iy + 1]) AS y, unnest(['h', 'v', 'v', 'h']) AS turn FROM shipped),
+border AS (SELECT code, count(*) AS n_edges FROM (SELECT code FROM sides GROUP BY code, x, y, turn HAVING count(*) = 1) GROUP BY 1),
+euler AS (SELECT s.code, count(*) AS n, count(*) - count(r.ix) - count(u.ix) + count(CASE WHEN r.ix IS NOT NULL AND u.ix IS NOT NULL THEN d.ix END) AS euler
+    FROM shipped s LEFT JOIN shipped r ON r.code = s.code AND r.ix = s.ix + 1 AND r.iy = s.iy
+    LEFT JOIN shipped u ON u.code = s.code AND u.ix = s.ix AND u.iy = s.iy + 1
+    LEFT JOIN shipped d ON d.code = s.code AND d.ix = s.ix + 1 AND d.iy = s.iy + 1 GROUP BY 1)"""
+
+
+@query(
+    "dissolve_outlines",
+    with_sql(
+        "SELECT code, n_edges, n_edges::DOUBLE AS perimetre, n::DOUBLE AS surface, euler FROM border JOIN euler USING (code)", SHIPPED
+    ),
+)
+def _(t: Tables):
+    """Outlines less holes is the Euler number of the merged cells, which SQL counts from cells and neighbours."""
+    from registry.optical_queries import cells
+
+    code = F.concat_ws("-", "l_returnflag", "l_linestatus", F.month("l_shipdate").cast("string"))
+    shipped = t.lineitem.select(code.alias("code"), *cells("l_partkey"))
+    rings = ol.ring_areas(ol.outlines(ol.cell_edges(shipped, "code"), "code"), "code")
+    return rings.groupBy("code").agg(
+        F.sum("n_edges").alias("n_edges"), F.sum("perimetre").alias("perimetre"), F.sum("surface").alias("surface"),
+        (F.count_if(~F.col("hole")) - F.count_if("hole")).alias("euler"),
+    )
+
+
 @query(
     "align_grid",
     with_sql(
