@@ -7,6 +7,7 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,38 +133,73 @@ def detect_change(
     return valid & (smooth - ref_smooth < -drop) & (smooth < limit) & (ref_smooth >= limit)
 
 
-def pixel_patches(flagged: DataFrame, image: Sequence[str]) -> DataFrame:
-    """Flagged pixels with the `patch` (4-connected component) they belong to and its size.
-
-    Horizontal runs of pixels are the nodes, so the component loop handles rows of the image
-    rather than pixels; runs that share a column in successive rows are linked."""
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least index of the part each of `n` pixels is in, by links `a` to `b`: roots are hooked to the least
+    root they meet, then chains are followed, until both ends of every link agree."""
+    label = np.arange(n)
+    while True:
+        la, lb = label[a], label[b]
+        differ = la != lb
+        if not differ.any():
+            return label
+        la, lb = la[differ], lb[differ]
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def pixel_patches(flagged: DataFrame, image: Sequence[str], tile: int = TILE) -> DataFrame:
+    """Flagged pixels with the `patch` (4-connected component, named by `image` and the first pixel of one of
+    its parts) they belong to and its size, `taille`. Repeated pixels count once; pixels without a coordinate
+    are left out; a null in `image` is an image of its own.
+
+    Two levels: parts inside a tile are found in its task, an Arrow batch of at most tile x tile pixels.
+    Only parts that meet another one across the border of two tiles are nodes of the distributed loop, so
+    it handles borders and never pixels. One row per part is joined back to the pixels."""
     image = list(image)
-    cells = flagged.select(*image, "ix", "iy").distinct()
-    row = Window.partitionBy(*image, "iy").orderBy("ix")
-    islands = cells.withColumn("_g", F.col("ix") - F.row_number().over(row))
-    runs = islands.groupBy(*image, "iy", "_g").agg(F.min("ix").alias("_x"))
-    run = F.concat_ws(
-        "|", *[F.col(c).cast("string") for c in image], F.col("iy").cast("string"),
-        F.col("_x").cast("string"),
+    cells = flagged.select(*image, "ix", "iy").where("ix IS NOT NULL AND iy IS NOT NULL").distinct()
+    types = dict(cells.dtypes)
+    schema = ", ".join(f"`{c}` {t}" for c, t in cells.dtypes) + f", _ly {types['iy']}, _lx {types['ix']}"
+    places = [F.floor(F.col(c) / tile).cast("long").alias(n) for c, n in (("ix", "_tx"), ("iy", "_ty"))]
+
+    def parts_of_tile(table: pa.Table) -> pa.Table:
+        x, y = table["ix"].to_numpy().astype("int64"), table["iy"].to_numpy().astype("int64")
+        key = (y - y.min()) * (tile + 1) + x - x.min()  # one empty place after each row
+        order = np.argsort(key)
+        key, rows = key[order], table.take(pa.array(order))
+        links = []
+        for step in (1, tile + 1):
+            at = np.minimum(np.searchsorted(key, key + step), len(key) - 1)
+            links.append(np.stack([np.arange(len(key)), at])[:, key[at] == key + step])
+        a, b = np.concatenate(links, axis=1)
+        first = order[_joined(len(key), a, b)]
+        out = rows.select([*image, "ix", "iy"])
+        out = out.append_column("_ly", table["iy"].take(pa.array(first)))
+        return out.append_column("_lx", table["ix"].take(pa.array(first)))
+
+    labelled = cut_lineage(
+        cells.select("*", *places).groupBy(*image, "_tx", "_ty").applyInArrow(parts_of_tile, schema)
+        .select(*image, "ix", "iy", F.struct(*image, "_ly", "_lx").alias("_part"))
     )
-    tagged = cut_lineage(
-        islands.join(runs, [*image, "iy", "_g"]).select(*image, "ix", "iy", run.alias("_run"))
-    )
-    below = tagged.select(
-        *image, "ix", (F.col("iy") + 1).alias("iy"), F.col("_run").alias("_above")
-    )
-    edges = tagged.join(below, [*image, "ix", "iy"]).select(
-        F.col("_run").alias("a"), F.col("_above").alias("b")
-    ).distinct()
-    nodes = tagged.groupBy("_run").agg(F.count("*").alias("_n"))
-    parts = connected_components(nodes.select(F.col("_run").alias("id")), edges)
-    labelled = nodes.join(parts, F.col("_run") == F.col("id")).select("_run", "component", "_n")
-    sizes = labelled.groupBy("component").agg(F.sum("_n").alias("taille"))
-    return (
-        tagged.join(labelled.drop("_n"), "_run")
-        .join(sizes, "component")
-        .select(*image, "ix", "iy", F.col("component").alias("patch"), "taille")
-    )
+
+    def meets(along: str, across: str) -> DataFrame:
+        """Parts on both sides of the borders that `along` crosses."""
+        place = F.struct(*image, F.col(along).alias("_u"), F.col(across).alias("_v"))
+        before = F.struct(*image, (F.col(along) + 1).cast(types[along]).alias("_u"), F.col(across).alias("_v"))
+        last = labelled.where(F.pmod(F.col(along), F.lit(tile)) == tile - 1).select(before.alias("_at"), F.col("_part").alias("a"))
+        first = labelled.where(F.pmod(F.col(along), F.lit(tile)) == 0).select(place.alias("_at"), F.col("_part").alias("b"))
+        return last.join(first, "_at").select("a", "b")
+
+    edges = cut_lineage(meets("ix", "iy").unionByName(meets("iy", "ix")).distinct())
+    nodes = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
+    merged = connected_components(nodes, edges).select(F.col("id").alias("_part"), "component")
+    parts = cut_lineage(
+        labelled.groupBy("_part").agg(F.count("*").alias("_n")).join(merged, "_part", "left")
+        .select("_part", "_n", F.coalesce("component", "_part").alias("patch"))
+    )
+    sizes = parts.groupBy("patch").agg(F.sum("_n").alias("taille"))
+    named = parts.drop("_n").join(sizes, "patch")
+    return labelled.join(named, "_part").select(*image, "ix", "iy", "patch", "taille")
 
 
 def min_patch_size(flagged: DataFrame, image: Sequence[str], minimum: int = PATCH_PX) -> DataFrame:
