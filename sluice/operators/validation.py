@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import calendar as cal
@@ -51,6 +53,57 @@ def first_detailed_year(orders: DataFrame) -> DataFrame:
     )
 
 
+def runs_in_force(
+    intervals: DataFrame, keys: Sequence[str], first: str, last: str, rank: str, step: int = 1
+) -> DataFrame:
+    """Runs of days on which one interval of its key is in force: the open one of highest `rank`. The rows of
+    `intervals` whose turn it is, `first` and `last` replaced by the ends of the run; a row has several runs
+    when others interrupt it. `first` and `last` are dates on one grid of `step` days, both included. Rows of
+    equal rank are taken in the order of their ends; rows without keys, dates or with first > last have no run.
+
+    Intervals with the same key and ends are first reduced to the highest, before the shuffle, so a key has at
+    most as many rows as the calendar has pairs of ends, and no row is spread over its days. The sweep of a key then
+    takes starts in order, with a heap of the open rows."""
+    keys = list(keys)
+    others = [c for c in intervals.columns if c not in {*keys, first, last, rank}]
+    best = (
+        intervals.where(F.col(first) <= F.col(last)).dropna(subset=keys).groupBy(*keys, first, last)
+        .agg(F.max(F.struct(rank, *others)).alias("_best"))
+        .select(*keys, first, last, "_best.*")
+    )
+    ordered = best.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(rank, last, first)))
+    ordered = ordered.withColumn(first, F.unix_date(first)).withColumn(last, F.unix_date(last))
+
+    def sweep(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(first, "ascending")])
+        starts, ends, places = (table[c].to_pylist() for c in (first, last, "_place"))
+        n, i, day, heap, rows, opened, closed = len(starts), 0, 0, [], [], [], []
+        while i < n or heap:
+            if not heap:
+                day = starts[i]
+            while i < n and starts[i] <= day:
+                heapq.heappush(heap, (-places[i], i))
+                i += 1
+            while heap and ends[heap[0][1]] < day:
+                heapq.heappop(heap)
+            if not heap:
+                continue
+            row = heap[0][1]
+            until = min(ends[row], starts[i] - step) if i < n else ends[row]
+            if rows and rows[-1] == row and closed[-1] == day - step:
+                closed[-1] = until
+            else:
+                rows.append(row), opened.append(day), closed.append(until)
+            day = until + step
+        found = table.take(pa.array(rows, "int64"))
+        for name, values in ((first, opened), (last, closed)):
+            found = found.set_column(found.schema.get_field_index(name), name, pa.array(values, "int32"))
+        return found
+
+    runs = ordered.groupBy(*keys).applyInArrow(sweep, ordered.schema)
+    return runs.withColumn(first, F.date_from_unix_date(first)).withColumn(last, F.date_from_unix_date(last)).drop("_place")
+
+
 def weekly_level(
     matched: DataFrame, zones: DataFrame, last_week: str, first_year: Column | None = None
 ) -> DataFrame:
@@ -58,31 +111,27 @@ def weekly_level(
     signature, id), then the highest level of the zone with the alert zones that hold it; 0 without
     an order, on the full grid of zones and Sundays.
 
-    Each order is spread over the Sundays it covers and reduced to the latest per alert zone inside
-    the same task, so the interval join becomes an aggregate whose shuffle is bounded by alert
-    zones x Sundays."""
+    Orders become runs of the order in force by a sweep per alert zone; Sundays are laid on the runs, so
+    what is shuffled doesn't grow with the length of an order."""
     if first_year is None:
         first_year = first_detailed_year(matched).scalar()
     end = cal.week_sunday(F.lit(last_week))
     start = cal.week_sunday(F.concat(first_year.cast("string"), F.lit("-W01")))
     rows = matched.where(F.col("zone_id").isNotNull() & F.col("niveau_gravite").isNotNull())
-    first = F.greatest(cal.sunday_of(F.col("date_debut")), start)
     last = F.least(F.coalesce("date_fin", end), end)
-    spread = rows.select(
+    orders = rows.select(
         "zone_id",
         F.concat_ws(":", "type_zone_alerte", name_key(F.col("nom_zone_alerte"))).alias("_key"),
-        F.explode(
-            F.when(first <= last, F.sequence(first, last, F.expr("interval 7 days")))
-        ).alias("sunday"),
+        F.greatest(cal.sunday_of(F.col("date_debut")), start).alias("_first"),
+        F.date_sub(F.next_day(last, "Sun"), 7).alias("_last"),  # the last Sunday up to the end
         F.struct("date_debut", "date_signature", "arrete_id").alias("_rank"),
         F.struct(
             severity(F.col("niveau_gravite")).alias("niveau"),
             F.concat_ws(" ", "type_zone_alerte", "nom_zone_alerte").alias("zone_alerte"),
         ).alias("_row"),
     )
-    in_force = spread.groupBy("zone_id", "_key", "sunday").agg(
-        F.max_by("_row", "_rank").alias("_row")
-    )
+    runs = runs_in_force(orders, ["zone_id", "_key"], "_first", "_last", "_rank", 7)
+    in_force = runs.select("zone_id", F.explode(F.sequence("_first", "_last", F.expr("interval 7 days"))).alias("sunday"), "_row")
     per_zone = (
         in_force.groupBy("zone_id", "sunday")
         .agg(F.max("_row.niveau").alias("niveau"), F.collect_set("_row").alias("_rows"))
