@@ -199,7 +199,24 @@ def _(t: Tables):
     return rounded(sp.zone_overlaps(claims(t), 0.01), "chevauchement")
 
 
-@query("partition_zones")
+# Parts are found by reach (pairs of cells), the nearest piece by looking at all
+PARTITION = """owned AS (SELECT ix, iy, CASE WHEN p_size % 11 = 0 THEN '' WHEN ix = 0 THEN 'Z0' ELSE 'Z' || ((ix - 1) // 8)::VARCHAR END AS label FROM codes),
+reach AS (SELECT ix, iy, ix AS px, iy AS py, label FROM owned UNION
+    SELECT r.ix, r.iy, o.ix, o.iy, r.label FROM reach r, (SELECT unnest([1, -1, 0, 0]) AS dx, unnest([0, 0, 1, -1]) AS dy) d, owned o
+    WHERE o.ix = r.px + d.dx AND o.iy = r.py + d.dy AND o.label = r.label),
+pieces AS (SELECT ix, iy, any_value(label) AS label, min((px, py)) AS part, any_value(label) <> '' AND count(*) >= 20 AS big FROM reach GROUP BY 1, 2),
+border AS (SELECT part, label FROM (SELECT s.part, l.label, count(*) AS n FROM pieces s JOIN pieces l ON abs(s.ix - l.ix) + abs(s.iy - l.iy) = 1
+      WHERE NOT s.big AND l.big GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY part ORDER BY n DESC, label) = 1),
+near AS (SELECT s.part, l.label FROM pieces s, pieces l WHERE NOT s.big AND l.big AND s.part NOT IN (SELECT part FROM border)
+    QUALIFY row_number() OVER (PARTITION BY s.part ORDER BY (s.ix - l.ix) ** 2 + (s.iy - l.iy) ** 2, l.label) = 1),
+partition_rows AS (SELECT CASE WHEN big THEN p.label ELSE coalesce(b.label, n.label) END AS zone_id, big FROM pieces p
+    LEFT JOIN border b ON b.part = p.part LEFT JOIN near n ON n.part = p.part)"""
+
+
+@query(
+    "partition_zones",
+    "WITH RECURSIVE " + CODES + ", " + PARTITION + " SELECT zone_id, count(*) AS n, count(*) FILTER (WHERE NOT big) AS n_rattache FROM partition_rows GROUP BY 1",
+)
 def _(t: Tables):
     parts = sp.partition_zones(claims(t), codes(t), 20)
     return parts.groupBy("zone_id").agg(F.count("*").alias("n"), F.count_if("rattache").alias("n_rattache"))
